@@ -6,75 +6,5 @@ Spark derives from them) in full.
 
 from __future__ import annotations
 
-from typing import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions.exprs import round_doubles
-from ..operators import backtest as B
-from ..operators import metrics as M
-from ..sources import tables as T
-from . import oracle as O
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
-
-
-def out(df: DataFrame) -> DataFrame:
-    return round_doubles(df, O.R)
-
-
-# ---------------------------------------------------------------- shared inputs
-BASELINES = [B.naive(), B.daily_seasonal_naive(), B.weekly_seasonal_naive(), B.tiled_profile(24)]
-
-
-def hourly_backtest(spark: SparkSession, sf_dir: str, horizon: int = 24, test_frac: float = 0.2,
-                    methods=None, grid: DataFrame | None = None) -> DataFrame:
-    g = grid if grid is not None else T.hourly_grid(spark, sf_dir)
-    split = B.split_point(g, test_frac)
-    origins = B.forecast_origins(split, horizon, 24)
-    return B.run_backtest(g, origins, methods or BASELINES, horizon)
-
-
-# ---------------------------------------------------------------- minimum slice
-@register("g5_hourly_grid", f"WITH {O.HOURLY} SELECT series_id, ts, round(y, {O.R}) AS y, n_events FROM hourly")
-def g5_hourly_grid(spark, sf_dir):
-    return out(T.hourly_grid(spark, sf_dir))
-
-
-@register("b1_split_point", f"WITH {O.HOURLY}, {O.split_cte(0.2)} SELECT * FROM split")
-def b1_split_point(spark, sf_dir):
-    return B.split_point(T.hourly_grid(spark, sf_dir), 0.2)
-
-
-@register("b3_origins", f"WITH {O.HOURLY}, {O.split_cte(0.2)}, {O.origins_cte(24, 24)} SELECT * FROM origins")
-def b3_origins(spark, sf_dir):
-    return B.forecast_origins(B.split_point(T.hourly_grid(spark, sf_dir), 0.2), 24, 24)
-
-
-@register("b9_backtest", f"WITH {O.BT24} SELECT series_id, origin, horizon_step, method, "
-                         f"round(actual, {O.R}) AS actual, round(forecast, {O.R}) AS forecast FROM bt")
-def b9_backtest(spark, sf_dir):
-    return out(hourly_backtest(spark, sf_dir))
-
-
-@register("m6_leaderboard", f"""WITH {O.BT24}, lb AS (
-  SELECT series_id, method, {O.metric_sql()} FROM bt GROUP BY 1, 2)
-SELECT *, CAST(rank() OVER (PARTITION BY series_id ORDER BY MAE NULLS LAST, method) AS INTEGER) AS mae_rank
-FROM lb""")
-def m6_leaderboard(spark, sf_dir):
-    lb = M.score(hourly_backtest(spark, sf_dir), ["series_id", "method"])
-    lb = out(lb)
-    from pyspark.sql import Window
-    w = Window.partitionBy("series_id").orderBy(F.col("MAE").asc_nulls_last(), "method")
-    return lb.withColumn("mae_rank", F.rank().over(w))
+from . import q_core, q_prep  # noqa: F401
+from .registry import QUERIES, SQL  # noqa: F401
