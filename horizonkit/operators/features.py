@@ -153,12 +153,13 @@ def windows(df: DataFrame, lookback: int, horizon: int, feature_cols: Sequence[s
     row = F.when(all_not_null(feature_cols), F.array(*[F.col(c).cast("double") for c in feature_cols]))
 
     def mk(w):
-        return [F.collect_list(row).over(w.rowsBetween(-(lookback - 1), 0)).alias("X"),
-                F.collect_list(F.col(target_col)).over(w.rowsBetween(1, horizon)).alias("Y")]
+        return [F.collect_list(row).over(w.rowsBetween(-(lookback - 1), 0)).alias("x_window"),
+                F.collect_list(F.col(target_col)).over(w.rowsBetween(1, horizon)).alias("y_window")]
 
-    x = windowed(df.select(*keys, ts, *set([*feature_cols, target_col])), keys, ts, step, lookback - 1, horizon,
-                 mk, bucket_steps, bucketed)
-    x = x.where((F.size("X") == lookback) & (F.size("Y") == horizon)).select(*keys, F.col(ts).alias("origin"), "X", "Y")
+    cols = list(dict.fromkeys([*feature_cols, target_col]))
+    x = windowed(df.select(*keys, ts, *cols), keys, ts, step, lookback - 1, horizon, mk, bucket_steps, bucketed)
+    x = x.where((F.size("x_window") == lookback) & (F.size("y_window") == horizon)) \
+         .select(*keys, F.col(ts).alias("origin"), "x_window", "y_window")
     if origins is not None:
         x = x.join(origins.select(*keys, "origin"), [*keys, "origin"], "left_semi")
     return x
@@ -181,10 +182,11 @@ def scale_windows(win: DataFrame, scaler: DataFrame, target_channel: int = 0, ke
     """standardise only the target channel of X, and all of Y."""
     x = win.join(scaler, list(keys))
     m, s = F.col("scale_mean"), F.col("scale_std")
-    X = F.transform("X", lambda r: F.transform(
+    xw = F.transform("x_window", lambda r: F.transform(
         r, lambda v, i: F.when(i == target_channel, (v - m) / s).otherwise(v)))
-    Y = F.transform("Y", lambda v: (v - m) / s)
-    return x.select(*[c for c in win.columns if c not in ("X", "Y")], X.alias("X"), Y.alias("Y"))
+    yw = F.transform("y_window", lambda v: (v - m) / s)
+    return x.select(*[c for c in win.columns if c not in ("x_window", "y_window")],
+                    xw.alias("x_window"), yw.alias("y_window"))
 
 
 def standardize(df: DataFrame, cols: Sequence[str], keys=("series_id",)) -> DataFrame:

@@ -6,5 +6,5 @@ Spark derives from them) in full.
 
 from __future__ import annotations
 
-from . import q_core, q_prep  # noqa: F401
+from . import q_core, q_features, q_prep  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
