@@ -80,7 +80,7 @@ def dm_statistics(bt: DataFrame, methods: Sequence[str], kind: str = "absolute",
         lrv = lrv + 2 * F.coalesce(F.col(f"_g{k}"), F.lit(0.0))
     n = F.col("n_origins").cast("double")
     corr = F.sqrt((n + 1 - 2 * h + h * (h - 1) / n) / n)
-    dm = F.when(lrv > 0, F.col("mean_loss_diff") / F.sqrt(lrv / n) * corr)
+    dm = F.when(lrv > 1e-18, F.col("mean_loss_diff") / F.sqrt(lrv / n) * corr)
     return s.select(*pk, "mean_loss_diff", dm.alias("dm_statistic"), F.col("n_origins"))
 
 
@@ -108,18 +108,19 @@ def worst_cases(bt: DataFrame, n: int = 10, kind: str = "absolute", keys: Sequen
 def label_context(cases: DataFrame, gap_ranges: DataFrame, flagged_days: DataFrame,
                   date_col: str = "origin") -> DataFrame:
     """``near_data_gap`` if the day lies in any closed range, else
-    ``flagged_anomaly`` if the day is flagged, else ''. ``gap_ranges``
-    (range_start, range_end) and ``flagged_days`` (day) are small parameter
-    tables (derived from gap and anomaly results); the range test is a
-    broadcast non-equi join, the day test an equi join."""
-    c = cases.withColumn("_day", day_of(date_col)).withColumn("_cid", F.monotonically_increasing_id())
-    r = F.broadcast(gap_ranges.select(day_of("range_start").alias("_rs"), day_of("range_end").alias("_re")))
-    in_gap = (c.select("_cid", "_day").join(r, (F.col("_day") >= F.col("_rs")) & (F.col("_day") <= F.col("_re")))
-                .select("_cid").distinct().withColumn("_gap", F.lit(True)))
+    ``flagged_anomaly`` if the day is flagged, else ''.
+
+    The range test is turned into an equi-join: each ``(range_start,
+    range_end)`` is expanded to its days and de-duplicated, so both lookup
+    tables hold at most one row per calendar day whatever the data volume
+    (AQE broadcasts them when small)."""
+    span = F.sequence(day_of("range_start").cast("date"), day_of("range_end").cast("date"))
+    gd = (gap_ranges.select(F.explode(span).alias("_d")).select(F.col("_d").cast("timestamp_ntz").alias("_day"))
+                    .distinct().withColumn("_gap", F.lit(True)))
     fd = flagged_days.select(day_of("day").alias("_day")).distinct().withColumn("_flag", F.lit(True))
-    j = c.join(in_gap, "_cid", "left").join(F.broadcast(fd), "_day", "left")
+    j = cases.withColumn("_day", day_of(date_col)).join(gd, "_day", "left").join(fd, "_day", "left")
     ctx = F.when(F.col("_gap"), "near_data_gap").when(F.col("_flag"), "flagged_anomaly").otherwise("")
-    return j.withColumn("context", ctx).drop("_day", "_cid", "_gap", "_flag")
+    return j.withColumn("context", ctx).drop("_day", "_gap", "_flag")
 
 
 def flagged_share(labelled: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
