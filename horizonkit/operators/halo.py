@@ -94,6 +94,10 @@ def carry(df: DataFrame, keys: Sequence[str], ts: str, step, cols: Sequence[str]
         return F.when(F.col(c).isNotNull(),
                       F.struct(F.col(RN_COL).alias("pos"), F.col(S_COL).alias("s"), F.col(c).alias("v")))
 
+    # "next" frames run over the reversed order so every frame is a growing
+    # prefix (ROWS UNBOUNDED PRECEDING); a shrinking UNBOUNDED FOLLOWING frame
+    # is re-aggregated per row by Spark and is quadratic in the bucket size.
+    w_rev = Window.partitionBy(*keys, B_COL).orderBy(F.col(ts).desc())
     x = base.withColumn(RN_COL, F.row_number().over(w_in))
     in_cols = []
     for c in cols:
@@ -101,8 +105,8 @@ def carry(df: DataFrame, keys: Sequence[str], ts: str, step, cols: Sequence[str]
             in_cols.append(F.last(vstruct(c), True).over(
                 w_in.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_hk_pin_{c}"))
         if nxt:
-            in_cols.append(F.first(vstruct(c), True).over(
-                w_in.rowsBetween(0, Window.unboundedFollowing)).alias(f"_hk_nin_{c}"))
+            in_cols.append(F.last(vstruct(c), True).over(
+                w_rev.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_hk_nin_{c}"))
     x = x.select("*", *in_cols)
 
     # one row per (series, bucket)
@@ -114,6 +118,7 @@ def carry(df: DataFrame, keys: Sequence[str], ts: str, step, cols: Sequence[str]
             aggs.append(F.min(vstruct(c)).alias(f"_hk_first_{c}"))
     summ = x.groupBy(*keys, B_COL).agg(*aggs)
     w_b = Window.partitionBy(*keys).orderBy(B_COL)
+    w_b_rev = Window.partitionBy(*keys).orderBy(F.col(B_COL).desc())
     summ = summ.withColumn("_hk_off", F.coalesce(F.sum("_hk_cnt").over(
         w_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
@@ -127,8 +132,8 @@ def carry(df: DataFrame, keys: Sequence[str], ts: str, step, cols: Sequence[str]
             carry_cols.append(F.last(globalise(f"_hk_last_{c}", F.col("_hk_off")), True).over(
                 w_b.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_hk_cp_{c}"))
         if nxt:
-            carry_cols.append(F.first(globalise(f"_hk_first_{c}", F.col("_hk_off")), True).over(
-                w_b.rowsBetween(1, Window.unboundedFollowing)).alias(f"_hk_cn_{c}"))
+            carry_cols.append(F.last(globalise(f"_hk_first_{c}", F.col("_hk_off")), True).over(
+                w_b_rev.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_hk_cn_{c}"))
     summ = summ.select(*keys, B_COL, "_hk_off", *carry_cols)
 
     y = x.join(summ, on=[*keys, B_COL], how="inner")
