@@ -22,11 +22,11 @@ def nan_to_null(c) -> Column:
 
 
 def any_null(cols) -> Column:
-    return reduce(lambda a, b: a | b, [col(c).isNull() for c in cols])
+    return reduce(lambda a, b: a | b, [col(c).isNull() for c in cols], F.lit(False))
 
 
 def all_not_null(cols) -> Column:
-    return reduce(lambda a, b: a & b, [col(c).isNotNull() for c in cols])
+    return reduce(lambda a, b: a & b, [col(c).isNotNull() for c in cols], F.lit(True))
 
 
 def safe_div(a, b) -> Column:

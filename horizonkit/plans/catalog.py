@@ -6,5 +6,5 @@ Spark derives from them) in full.
 
 from __future__ import annotations
 
-from . import q_core, q_eval, q_features, q_prep, q_stats  # noqa: F401
+from . import q_core, q_eval, q_features, q_io, q_models, q_prep, q_stats  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import nan_to_null
 from ..functions.timecols import day_of, floor_ts
-from ..operators.grid import resample, to_grid
+from ..operators.grid import interpolate_time, resample, to_grid
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -44,6 +44,13 @@ def hourly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
                     mean_cols=["y"], sum_cols=["n_events"])
 
 
+def refreshed_hourly(spark: SparkSession, sf_dir: str, limit: int = 180) -> DataFrame:
+    """S11 refresh: minute grid → limited time interpolation (G3) → hourly.
+    The model-facing hourly table, as produced by the raw-to-features job."""
+    filled = interpolate_time(minute_grid(spark, sf_dir), ["y"], step="minute", limit=limit)
+    return resample(filled, ["series_id"], "ts", "hour", mean_cols=["y"], sum_cols=["n_events"])
+
+
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderdate", "o_totalprice")
     return (o.groupBy(F.col("o_orderpriority").alias("series_id"), day_of("o_orderdate").alias("ts"))
