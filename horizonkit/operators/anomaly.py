@@ -152,12 +152,21 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], contamination: float =
     total = complete.count()
     if total == 0:
         return df.withColumn("iforest_score", F.lit(None).cast("double")).withColumn(name, F.lit(False))
-    frac = min(1.0, n_trees * sample_size * 1.2 / total)
     limit = int(np.ceil(np.log2(max(sample_size, 2))))
-    samp = (complete.sample(False, frac, seed)
-                    .withColumn("tree_id", F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.col(ts), F.lit(seed)),
-                                                  F.lit(n_trees)).cast("int"))
-                    .select("tree_id", *cols))
+    p = min(1.0, sample_size / total)  # per-tree inclusion probability
+    rid = F.xxhash64(*[F.col(k) for k in keys], F.col(ts), F.lit(seed))
+    if n_trees * p <= 1.0:
+        # large input: one Bernoulli sample, each sampled row feeds one tree
+        # (rows in two trees would have probability ~ (n_trees·p)² / 2)
+        samp = (complete.sample(False, min(1.0, n_trees * p * 1.05), seed)
+                        .withColumn("tree_id", F.pmod(rid, F.lit(n_trees)).cast("int")))
+    else:
+        # small input (< n_trees × sample_size rows): independent membership
+        # per (row, tree); the expansion is bounded by n_trees × sample_size rows
+        u = (F.pmod(F.xxhash64(rid, F.col("tree_id")), F.lit(1_000_003)) / F.lit(1_000_003.0))
+        samp = (complete.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+                        .where(u < p))
+    samp = samp.select("tree_id", *cols)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tid = int(pdf["tree_id"].iloc[0])

@@ -197,13 +197,13 @@ def b12_window_backtest(spark, sf_dir, lookback: int = 48, horizon: int = 24):
     train_rows = g.join(split, "series_id").where(F.col("ts") < F.col("test_start"))
     scaler = FE.fit_scaler(train_rows)
     win = FE.scale_windows(FE.windows(g, lookback, horizon, ["y"], "y"), scaler)
-    win = win.join(split.select("series_id", "test_start"), "series_id")
+    win = win.join(split.select("series_id", "test_start"), "series_id").persist()
     feats = array_to_vector(F.transform("x_window", lambda r: F.element_at(r, 1))).alias("features")
     train = win.where(F.col("origin") <= F.expr(f"test_start - make_dt_interval(0, {horizon}, 0, 0)")) \
                .select("series_id", feats, "y_window").persist()
     origins = _origins(split)
     test = win.join(origins.select("series_id", "origin"), ["series_id", "origin"], "left_semi") \
-              .select("series_id", "origin", feats)
+              .select("series_id", "origin", feats).persist()
     def fit_step(h):
         lr = LinearRegression(featuresCol="features", labelCol="label", regParam=0.01, elasticNetParam=0.0,
                               solver="normal")
