@@ -9,6 +9,7 @@ from ..operators import backtest as B
 from ..operators import metrics as M
 from ..sources import tables as T
 from . import oracle as O
+from ..session import materialize
 from .registry import out, register
 
 # ---------------------------------------------------------------- shared inputs
@@ -17,7 +18,7 @@ BASELINES = [B.naive(), B.daily_seasonal_naive(), B.weekly_seasonal_naive(), B.t
 
 def hourly_backtest(spark: SparkSession, sf_dir: str, horizon: int = 24, test_frac: float = 0.2,
                     methods=None, grid: DataFrame | None = None) -> DataFrame:
-    g = grid if grid is not None else T.hourly_grid(spark, sf_dir)
+    g = grid if grid is not None else materialize(T.hourly_grid(spark, sf_dir))
     split = B.split_point(g, test_frac)
     origins = B.forecast_origins(split, horizon, 24)
     return B.run_backtest(g, origins, methods or BASELINES, horizon)
@@ -54,3 +55,14 @@ def m6_leaderboard(spark, sf_dir):
     lb = out(lb)
     w = Window.partitionBy("series_id").orderBy(F.col("MAE").asc_nulls_last(), "method")
     return lb.withColumn("mae_rank", F.rank().over(w))
+
+
+@register("b2_chrono_split", f"""WITH {O.HOURLY},
+d AS (SELECT series_id, ts, y, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS rn,
+        count(*) OVER (PARTITION BY series_id) AS n FROM hourly WHERE y IS NOT NULL)
+SELECT series_id, ts, round(y, {O.R}) AS y, CASE WHEN rn <= floor(n * 0.9) THEN 'train' ELSE 'test' END AS split
+FROM d""")
+def b2_chrono_split(spark, sf_dir):
+    """90/10 time-ordered split of the non-missing hourly rows (no shuffling)."""
+    g = T.hourly_grid(spark, sf_dir).select("series_id", "ts", "y")
+    return out(B.chrono_split(g, 0.9, drop_null_cols=["y"]))

@@ -13,6 +13,7 @@ from ..operators import metrics as M
 from ..sources import tables as T
 from . import oracle as O
 from .q_core import BASELINES, hourly_backtest
+from ..session import materialize
 from .registry import out, register
 
 R = O.R
@@ -23,12 +24,12 @@ LONG_METHODS = [B.naive(), B.weekly_seasonal_naive(), B.tiled_profile(24)]
 DM_METHODS = ["daily_naive", "weekly_naive", "naive", "daily_profile"]
 
 
-def bt24(spark, sf_dir):
-    return hourly_backtest(spark, sf_dir)
+def bt24(spark, sf_dir, grid=None):
+    return hourly_backtest(spark, sf_dir, grid=grid)
 
 
-def bt168(spark, sf_dir):
-    return hourly_backtest(spark, sf_dir, horizon=168, test_frac=0.5, methods=LONG_METHODS)
+def bt168(spark, sf_dir, grid=None):
+    return hourly_backtest(spark, sf_dir, horizon=168, test_frac=0.5, methods=LONG_METHODS, grid=grid)
 
 
 # ---------------------------------------------------------------- M5–M13
@@ -86,7 +87,8 @@ m11 AS (SELECT coalesce(s.series_id, l.series_id) AS series_id, coalesce(s.metho
 
 
 def m11(spark, sf_dir):
-    return M.horizon_avg(bt24(spark, sf_dir), bt168(spark, sf_dir), ["series_id", "method"])
+    g = materialize(T.hourly_grid(spark, sf_dir))
+    return M.horizon_avg(bt24(spark, sf_dir, g), bt168(spark, sf_dir, g), ["series_id", "method"])
 
 
 @register("m11_horizon_avg", f"WITH {M11_SQL} SELECT series_id, method, round(mae_1h, {R}) AS mae_1h, "
@@ -286,3 +288,22 @@ def c4_point_loss(spark, sf_dir):
     bt = bt24(spark, sf_dir).where(F.col("actual").isNotNull() & F.col("forecast").isNotNull())
     return out(bt.select("series_id", "origin", "horizon_step", "method", point_loss("absolute").alias("abs_loss"),
                          point_loss("squared").alias("sq_loss")))
+
+
+@register("m9_season_matrix", f"""WITH {O.BT24}, s AS (
+  SELECT series_id, {SEASON_SQL} AS season, method, abs(actual - forecast) AS e FROM bt WHERE {_ok()})
+PIVOT s ON method USING round(avg(e), {R}) GROUP BY series_id, season""")
+def m9_season_matrix(spark, sf_dir):
+    """Season × method MAE matrix (the pivoted view of M9)."""
+    t = M.by_season(bt24(spark, sf_dir), KS)
+    return out(t.groupBy("series_id", "season").pivot("method").agg(F.first("MAE")))
+
+
+@register("m8_fold_matrix", f"""WITH {O.BT24}, {FOLDS_SQL}, s AS (
+  SELECT series_id, fold, method, abs(actual - forecast) AS e FROM bt JOIN folds USING (origin) WHERE {_ok()})
+PIVOT s ON method USING round(avg(e), {R}) GROUP BY series_id, fold""")
+def m8_fold_matrix(spark, sf_dir):
+    """Fold × method MAE matrix (the pivoted view of M8)."""
+    bt = bt24(spark, sf_dir)
+    t = M.by_fold(bt, C.assign_folds(bt, 4), KS)
+    return out(t.groupBy("series_id", "fold").pivot("method").agg(F.first("MAE")))

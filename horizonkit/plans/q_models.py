@@ -301,3 +301,62 @@ SELECT series_id, origin, horizon_step, method, origin + INTERVAL 1 HOUR * horiz
 def i11_target_ts(spark, sf_dir):
     return I.target_ts(hourly_backtest(spark, sf_dir)).select("series_id", "origin", "horizon_step", "method",
                                                               "target_ts")
+
+
+@register("i4_batch_forecast")
+def i4_batch_forecast(spark, sf_dir):
+    """Latest features → per-horizon forecasts → forecast sink, read back."""
+    from ..session import scratch_path
+    from ..sources.store import latest_origin, save_forecasts
+    g, split, f, models = fit_models(spark, sf_dir)
+    as_of = latest_origin(g).withColumnRenamed("as_of", "origin")
+    fc, _ = I.score_origins(models, f, as_of, HORIZONS, MODEL_FEATURES)
+    root = scratch_path(spark, "batch-forecast")
+    save_forecasts(I.target_ts(fc), root)
+    return out(spark.read.parquet(root))
+
+
+@register("i7_attach_actuals", f"""WITH {O.HOURLY},
+o AS (SELECT series_id, max(ts) - INTERVAL 24 HOUR AS origin FROM hourly GROUP BY 1),
+fc AS (SELECT o.series_id, o.origin, CAST(s.h AS INTEGER) AS horizon_step, 'daily_profile' AS method, h.y AS forecast
+       FROM o CROSS JOIN (SELECT range AS h FROM range(1, 25)) s
+       JOIN hourly h ON h.series_id = o.series_id AND h.ts = o.origin + INTERVAL 1 HOUR * (((s.h - 1) % 24) - 23)
+       WHERE o.origin - INTERVAL 23 HOUR >= (SELECT min(ts) FROM hourly x WHERE x.series_id = o.series_id))
+SELECT fc.series_id, fc.origin, fc.horizon_step, fc.method, round(a.y, {R}) AS actual, round(fc.forecast, {R}) AS forecast
+FROM fc LEFT JOIN hourly a ON a.series_id = fc.series_id AND a.ts = fc.origin + INTERVAL 1 HOUR * fc.horizon_step""")
+def i7_attach_actuals(spark, sf_dir):
+    """Forecast issued one day before the end, joined with the actuals that arrived since."""
+    from ..functions.timecols import add_steps
+    g = T.hourly_grid(spark, sf_dir)
+    o = g.groupBy("series_id").agg(add_steps(F.max("ts"), -24, "hour").alias("origin"))
+    fc = B.lookup_forecasts(g, o, [B.tiled_profile(24)], 24)
+    return out(B.attach_actuals(fc, g))
+
+
+@register("p5_tuning")
+def p5_tuning(spark, sf_dir, trials: int = 4, seed: int = 42):
+    """Seeded random search of boosted-tree parameters on a chronological
+    hold-out (last 10 % of the training rows, no shuffling), one horizon (24);
+    returns the trial table with validation MAE, best first."""
+    import random
+    g, split, f, sup = supervised_frame(spark, sf_dir)
+    train = FE.train_mask(sup.join(split.select("series_id", "test_start"), "series_id"), F.col("test_start"),
+                          MODEL_FEATURES).where(F.col("horizon") == 24)
+    cut = B.chrono_split(train.drop("test_start"), 0.9, step="hour").persist()
+    fit_rows, val_rows = cut.where(F.col("split") == "train"), cut.where(F.col("split") == "test")
+    rnd = random.Random(seed)
+    rows = []
+    for t in range(trials):
+        params = {"maxIter": rnd.choice([3, 5, 8]), "maxDepth": rnd.choice([3, 4, 5]),
+                  "stepSize": round(rnd.uniform(0.05, 0.3), 3), "minInstancesPerNode": rnd.choice([5, 10, 20]),
+                  "subsamplingRate": round(rnd.uniform(0.6, 1.0), 2), "seed": seed}
+        m = MD.fit_direct(fit_rows, [24], MODEL_FEATURES, "gbt", params)
+        mae = MD.predict_direct(m, val_rows).join(
+            val_rows.select("series_id", F.col("ts").alias("origin"), F.col("y_target").alias("actual")),
+            ["series_id", "origin"]).agg(F.avg(F.abs(F.col("actual") - F.col("forecast")))).first()[0]
+        rows.append((t, params["maxIter"], params["maxDepth"], params["stepSize"], params["minInstancesPerNode"],
+                     params["subsamplingRate"], float(mae) if mae is not None else None))
+    cut.unpersist()
+    tbl = spark.createDataFrame(rows, "trial int, max_iter int, max_depth int, step_size double, "
+                                      "min_instances int, subsampling double, val_mae double")
+    return tbl.orderBy("val_mae")

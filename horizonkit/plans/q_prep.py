@@ -288,3 +288,13 @@ def v4_describe(spark, sf_dir):
 @register("v5_missing_rows", f"WITH {O.DAILY} SELECT series_id, ts, y, n_orders FROM daily WHERE y IS NULL")
 def v5_missing_rows(spark, sf_dir):
     return V.missing_rows(T.daily_grid(spark, sf_dir), ["y"])
+
+
+@register("r4_month_year_matrix", f"""WITH {O.DAILY}, m AS (
+  SELECT series_id, CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS VARCHAR) AS year, y FROM daily)
+PIVOT m ON year USING round(avg(y), {R}) GROUP BY series_id, month""")
+def r4_month_year_matrix(spark, sf_dir):
+    """Month × year mean matrix (one column per year present in the data)."""
+    d = T.daily_grid(spark, sf_dir)
+    m = d.select("series_id", F.month("ts").alias("month"), F.year("ts").cast("string").alias("year"), "y")
+    return out(m.groupBy("series_id", "month").pivot("year").agg(F.avg("y")))

@@ -66,3 +66,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage once for an input reused by several branches of a plan
+    (e.g. a grid feeding bounds, look-ups and actuals): a reliable checkpoint
+    in the shared checkpoint folder, so the raw source is scanned once and a
+    lost executor does not force recomputation from the raw tables."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
