@@ -195,6 +195,7 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], contamination: float =
         return pd.Series(out)
 
     x = df.withColumn("iforest_score", score(*[F.col(c) for c in cols]))
-    thr = x.agg(F.percentile("iforest_score", 1.0 - contamination).alias("_thr"))
+    from ..functions.quantiles import exact_quantiles
+    thr = exact_quantiles(x, [], "iforest_score", [1.0 - contamination], names=["_thr"])
     x = x.withColumn("_one", F.lit(1)).join(F.broadcast(thr.withColumn("_one", F.lit(1))), "_one").drop("_one")
     return x.withColumn(name, F.coalesce(F.col("iforest_score") >= F.col("_thr"), F.lit(False))).drop("_thr")

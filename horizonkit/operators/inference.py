@@ -85,10 +85,10 @@ def target_ts(fc: DataFrame, step="hour") -> DataFrame:
 
 def error_bands(bt: DataFrame, lower_q: float = 0.1, upper_q: float = 0.9, by: Sequence[str] = ("method",)) -> DataFrame:
     """I8: empirical quantiles of (actual - forecast) per horizon step (linear)."""
-    e = F.col("actual") - F.col("forecast")
-    d = bt.where(F.col("actual").isNotNull() & F.col("forecast").isNotNull())
-    return d.groupBy(*by, "horizon_step").agg(F.percentile(e, lower_q).alias("lower_err"),
-                                             F.percentile(e, upper_q).alias("upper_err"))
+    from ..functions.quantiles import exact_quantiles
+    d = bt.where(F.col("actual").isNotNull() & F.col("forecast").isNotNull()) \
+          .withColumn("_err", F.col("actual") - F.col("forecast"))
+    return exact_quantiles(d, [*by, "horizon_step"], "_err", [lower_q, upper_q], names=["lower_err", "upper_err"])
 
 
 def with_interval(fc: DataFrame, bands: DataFrame, by: Sequence[str] = ("method",)) -> DataFrame:

@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles
 from ..functions.timecols import day_of
 from .halo import windowed
 
@@ -28,8 +29,8 @@ def box_stats(df: DataFrame, by: Column | str, col: str = "y", keys: Sequence[st
     keys = list(keys)
     x = df.select(*keys, (F.col(by) if isinstance(by, str) else by).alias(by_name), F.col(col).alias("_v")) \
           .where(F.col("_v").isNotNull())
-    q = x.groupBy(*keys, by_name).agg(F.percentile("_v", 0.25).alias("q1"), F.percentile("_v", 0.5).alias("median"),
-                                      F.percentile("_v", 0.75).alias("q3"), F.count(F.lit(1)).alias("n"))
+    q = exact_quantiles(x, [*keys, by_name], "_v", [0.25, 0.5, 0.75], names=["q1", "median", "q3"]) \
+        .join(x.groupBy(*keys, by_name).agg(F.count(F.lit(1)).alias("n")), [*keys, by_name])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     j = x.join(q, [*keys, by_name])
     lo, hi = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
@@ -85,9 +86,11 @@ def holiday_effect(df: DataFrame, calendar: DataFrame, col: str = "y", ts: str =
                    keys: Sequence[str] = ()) -> DataFrame:
     """Mean, exact median and count for holidays vs regular days."""
     cal = calendar.select(F.col("day").alias("_day")).distinct().withColumn("_hol", F.lit(True))
-    x = df.withColumn("_day", day_of(ts)).join(F.broadcast(cal), "_day", "left")
-    return x.groupBy(*keys, F.coalesce("_hol", F.lit(False)).alias("is_holiday")).agg(
-        F.avg(col).alias("mean"), F.median(col).alias("median"), F.count(col).alias("n"))
+    x = df.withColumn("_day", day_of(ts)).join(F.broadcast(cal), "_day", "left") \
+          .withColumn("is_holiday", F.coalesce("_hol", F.lit(False)))
+    g = [*keys, "is_holiday"]
+    m = x.groupBy(*g).agg(F.avg(col).alias("mean"), F.count(col).alias("n"))
+    return m.join(exact_quantiles(x, g, col, [0.5], names=["median"]), g, "left")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

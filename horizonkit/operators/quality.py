@@ -80,16 +80,19 @@ def duplicate_ts(df: DataFrame, keys: Sequence[str] = ("series_id",), ts: str =
 
 
 def describe_exact(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """V4: count, mean, sample std, min, exact linear quartiles, max (long format)."""
+    """V4: count, mean, sample std, min, exact linear quartiles, max (long format).
+    Quartiles use the distributed exact quantile (no group held in one task)."""
+    from ..functions.quantiles import exact_quantiles
     keys = list(keys)
     parts = []
     for c in cols:
         x = F.col(c)
-        parts.append(df.groupBy(*keys).agg(
+        base = df.groupBy(*keys).agg(
             F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).cast("double").alias("min"),
-            F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
-            F.percentile(x, 0.75).alias("p75"), F.max(x).cast("double").alias("max")))
+            F.stddev_samp(x).alias("std"), F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"))
+        q = exact_quantiles(df, keys, c, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
+        parts.append(base.join(q, keys, "left") if keys else
+                     base.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one", "left").drop("_one"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

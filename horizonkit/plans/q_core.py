@@ -66,3 +66,34 @@ def b2_chrono_split(spark, sf_dir):
     """90/10 time-ordered split of the non-missing hourly rows (no shuffling)."""
     g = T.hourly_grid(spark, sf_dir).select("series_id", "ts", "y")
     return out(B.chrono_split(g, 0.9, drop_null_cols=["y"]))
+
+
+@register("q8_time_slice", f"""WITH {O.HOURLY}, {O.split_cte(0.2)}
+SELECT h.series_id, h.ts, round(h.y, {O.R}) AS y, h.ts <= s.test_start AS in_train, h.ts >= s.test_start AS in_test
+FROM hourly h JOIN split s ON h.series_id = s.series_id""")
+def q8_time_slice(spark, sf_dir):
+    """Inclusive slices: train ``[start, test_start]`` and test ``[test_start, end]``
+    overlap in the test_start row, as label slicing does."""
+    g = T.hourly_grid(spark, sf_dir)
+    s = B.split_point(g, 0.2).select("series_id", "test_start")
+    j = g.join(s, "series_id")
+    return out(j.select("series_id", "ts", "y", (F.col("ts") <= F.col("test_start")).alias("in_train"),
+                        (F.col("ts") >= F.col("test_start")).alias("in_test")))
+
+
+@register("q9_clamp_ts", f"""WITH {O.HOURLY},
+b AS (SELECT series_id, min(ts) AS lo, max(ts) AS hi FROM hourly GROUP BY 1),
+req AS (SELECT DISTINCT event_type AS series_id, date_trunc('hour', ts) + INTERVAL 12 HOUR AS requested FROM events)
+SELECT r.series_id, r.requested, least(greatest(r.requested, b.lo), b.hi) AS clamped
+FROM req r JOIN b ON r.series_id = b.series_id""")
+def q9_clamp_ts(spark, sf_dir):
+    """Requested view times (each event's hour + 12 h) clamped into the series' valid range."""
+    from ..functions.timecols import add_steps, floor_ts
+    from ..operators.grid import series_bounds
+    g = T.hourly_grid(spark, sf_dir)
+    ev = T.read_table(spark, sf_dir, "events")
+    req = ev.select(F.col("event_type").alias("series_id"),
+                    add_steps(floor_ts("ts", "hour"), 12, "hour").alias("requested")).distinct()
+    b = series_bounds(g, ["series_id"])
+    return req.join(b, "series_id").select("series_id", "requested",
+                                           F.least(F.greatest("requested", "_lo"), "_hi").alias("clamped"))
