@@ -9,20 +9,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import all_not_null
-from ..functions.timecols import add_steps
+from ..functions.timecols import add_steps, step_seconds
 from . import features as FE
 from .grid import to_grid
 
 LOOKBACK = 192  # steps of history read for one feature row (168 + 24)
 
 
-def read_window(df: DataFrame, as_of: DataFrame, lookback: int = LOOKBACK, keys=("series_id",), ts="ts",
+def read_window(df: DataFrame, as_of, lookback: int = LOOKBACK, keys=("series_id",), ts="ts",
                 step="hour") -> DataFrame:
     """Rows in ``[as_of - lookback, as_of]`` (inclusive) per series, re-gridded.
 
-    ``as_of`` is a small table ``(keys, as_of)``; with a literal bound the
-    filter reaches the Parquet scan (and partition pruning on a date layout)."""
+    ``as_of`` is either a small table ``(keys, as_of)`` (per-series issue
+    times) or one literal timestamp; a literal range is a plain filter that
+    reaches the Parquet scan (PushedFilters / partition pruning)."""
     keys = list(keys)
+    if not isinstance(as_of, DataFrame):
+        import datetime as _dt
+        hi = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of))
+        lo_t = hi - _dt.timedelta(seconds=lookback * step_seconds(step))
+        w = df.where((F.col(ts) >= F.lit(lo_t.isoformat(sep=" ")).cast("timestamp_ntz"))
+                     & (F.col(ts) <= F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")))
+        b = w.select(*keys).distinct().select(*keys, F.lit(lo_t.isoformat(sep=" ")).cast("timestamp_ntz").alias("_lo"),
+                                              F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz").alias("_hi"))
+        return to_grid(w, keys, ts, step, bounds=b)
     j = df.join(as_of.select(*keys, "as_of"), keys)
     w = j.where((F.col(ts) >= add_steps("as_of", -lookback, step)) & (F.col(ts) <= F.col("as_of"))).drop("as_of")
     lo = as_of.select(*keys, add_steps("as_of", -lookback, step).alias("_lo"), F.col("as_of").alias("_hi"))
