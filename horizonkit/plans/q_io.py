@@ -135,3 +135,12 @@ def r1_stream_hourly(spark, sf_dir):
     outp, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     df = SR.run_to_table(spark, sf_dir, ev.schema, outp, ck, glob="events.parquet")
     return out(df)
+
+
+@register("s11_refresh_job")
+def s11_refresh_job(spark, sf_dir):
+    """The full raw-to-features refresh written as day-partitioned tables (run twice: idempotent)."""
+    from .refresh import run_refresh
+    root = scratch_path(spark, "refresh")
+    run_refresh(spark, sf_dir, root)
+    return run_refresh(spark, sf_dir, root)
