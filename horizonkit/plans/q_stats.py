@@ -13,6 +13,7 @@ from ..operators import stats as S
 from ..sources import tables as T
 from . import oracle as O
 from .q_prep import DAILY_INTERP, holiday_cte
+from ..session import materialize
 from .registry import out, register
 
 R = O.R
@@ -145,7 +146,7 @@ def a3_rolling_iqr(spark, sf_dir):
 
 
 def consensus(spark, sf_dir):
-    d = T.daily_grid(spark, sf_dir)
+    d = materialize(T.daily_grid(spark, sf_dir))  # feeds three detectors and the decomposition
     z = A.zscore(d)
     rz = A.residual_zscore(G.interpolate_position(d, ["y"], step="day"))
     iq = A.rolling_iqr(d)
