@@ -371,3 +371,43 @@ def compare_ranks(a: DataFrame, b: DataFrame, col_a: str, col_b: str) -> DataFra
         return df.withColumn(f"rank_{col}", F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
 
     return avg_rank(a, col_a).join(avg_rank(b, col_b), "feature")
+
+
+# ---------------------------------------------------------------- P6, B12: window regression
+def fit_window_linear(win: DataFrame, lookback: int, horizon: int, ridge: float = 0.01) -> dict:
+    """P6 (re-aimed): one linear map from the (scaled) target channel of the
+    look-back window to all ``horizon`` steps, pooled over series.
+
+    Two JVM-side passes over the window table — ``Summarizer`` (count, means,
+    variances) and ``Correlation`` of the stacked vector [x_1..x_L, y_1..y_H] —
+    give every cross moment; the (L+H)² system is solved on the driver
+    (size fixed by the window shape, not by the data). Ridge acts on
+    standardised inputs, the intercept is not penalised."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation, Summarizer
+    xs = F.transform("x_window", lambda r: F.element_at(r, 1))
+    v = win.select(array_to_vector(F.concat(xs, F.col("y_window"))).alias("v"))
+    summ = v.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).first()["s"]
+    mean, var, n = summ["mean"].toArray(), summ["variance"].toArray(), float(summ["count"])
+    corr = Correlation.corr(v, "v").first()[0].toArray()
+    sd = np.sqrt(var)
+    cov = corr * np.outer(sd, sd)
+    L = lookback
+    sxx, sxy = cov[:L, :L], cov[:L, L:]
+    sxx = np.nan_to_num(sxx) + ridge * np.diag(np.where(var[:L] > 0, var[:L], 1.0))
+    beta = np.linalg.solve(sxx, np.nan_to_num(sxy))           # L × H
+    intercept = mean[L:] - mean[:L] @ beta                     # H
+    return {"beta": beta.T.tolist(), "intercept": intercept.tolist(), "n": n}
+
+
+def predict_window_linear(fit: dict, win: DataFrame, keys=("series_id",), method: str = "window_linear") -> DataFrame:
+    """Forecast rows (scaled units) for every window: one dot product per step,
+    evaluated as array expressions (coefficients are literals of fixed size)."""
+    keys = list(keys)
+    xs = F.transform("x_window", lambda r: F.element_at(r, 1))
+    preds = []
+    for h, (b, c) in enumerate(zip(fit["beta"], fit["intercept"]), start=1):
+        coef = F.array(*[F.lit(float(w)) for w in b])
+        dotp = F.aggregate(F.zip_with(xs, coef, lambda a, w: a * w), F.lit(0.0), lambda acc, t: acc + t)
+        preds.append(F.struct(F.lit(h).alias("horizon_step"), (dotp + F.lit(float(c))).alias("_z")))
+    return win.select(*keys, "origin", F.inline(F.array(*preds))).withColumn("method", F.lit(method))

@@ -15,6 +15,7 @@ from ..sources import tables as T
 from . import oracle as O
 from .q_core import hourly_backtest
 from .q_features import FEATURES_SQL, features
+from ..session import materialize
 from .registry import out, register
 
 R = O.R
@@ -191,33 +192,18 @@ def p10_rank_compare(spark, sf_dir):
 # ---------------------------------------------------------------- P6, B12: window regression
 @register("b12_window_backtest")
 def b12_window_backtest(spark, sf_dir, lookback: int = 48, horizon: int = 24):
-    """Direct sequence-to-horizon linear regression on scaled look-back windows
-    (method ``window_linear``), one regularised fit per step."""
+    """Direct sequence-to-horizon linear map on scaled look-back windows
+    (method ``window_linear``): all steps from one moment pass."""
     g, split = _split(spark, sf_dir)
     train_rows = g.join(split, "series_id").where(F.col("ts") < F.col("test_start"))
     scaler = FE.fit_scaler(train_rows)
     win = FE.scale_windows(FE.windows(g, lookback, horizon, ["y"], "y"), scaler)
-    win = win.join(split.select("series_id", "test_start"), "series_id").persist()
-    feats = array_to_vector(F.transform("x_window", lambda r: F.element_at(r, 1))).alias("features")
-    train = win.where(F.col("origin") <= F.expr(f"test_start - make_dt_interval(0, {horizon}, 0, 0)")) \
-               .select("series_id", feats, "y_window").persist()
-    origins = _origins(split)
-    test = win.join(origins.select("series_id", "origin"), ["series_id", "origin"], "left_semi") \
-              .select("series_id", "origin", feats).persist()
-    def fit_step(h):
-        lr = LinearRegression(featuresCol="features", labelCol="label", regParam=0.01, elasticNetParam=0.0,
-                              solver="normal")
-        m = lr.fit(train.select("features", F.element_at("y_window", h).alias("label")))
-        return m.transform(test).select("series_id", "origin", F.lit(h).alias("horizon_step"),
-                                        F.col("prediction").alias("_z"))
-
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=8) as ex:  # independent fits, submitted concurrently
-        parts = list(ex.map(fit_step, range(1, horizon + 1)))
-    fc = parts[0]
-    for p in parts[1:]:
-        fc = fc.unionByName(p)
-    fc = fc.join(scaler, "series_id").select("series_id", "origin", "horizon_step", F.lit("window_linear").alias("method"),
+    win = materialize(win.join(split.select("series_id", "test_start"), "series_id"))
+    train = win.where(F.col("origin") <= F.expr(f"test_start - make_dt_interval(0, {horizon}, 0, 0)"))
+    fit = MD.fit_window_linear(train, lookback, horizon)
+    test = win.join(_origins(split).select("series_id", "origin"), ["series_id", "origin"], "left_semi")
+    fc = MD.predict_window_linear(fit, test)
+    fc = fc.join(scaler, "series_id").select("series_id", "origin", "horizon_step", "method",
                                              (F.col("_z") * F.col("scale_std") + F.col("scale_mean")).alias("forecast"))
     return out(B.attach_actuals(fc, g))
 

@@ -157,3 +157,17 @@ def test_window_scan_pushes_range_to_parquet(spark, tmp_path):
     plan = w._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
     assert w.count() == 25
+
+
+def test_window_linear_learns_periodic_series(spark):
+    rows = [("s", T0 + dt.timedelta(hours=i), float(np.sin(2 * np.pi * i / 24) + 0.5 * np.cos(2 * np.pi * i / 12)))
+            for i in range(600)]
+    g = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, y double")
+    win = FE.windows(g, 24, 6, ["y"], "y")
+    fit = MD.fit_window_linear(win, 24, 6, ridge=1e-6)
+    pred = MD.predict_window_linear(fit, win)
+    truth = win.select("series_id", "origin", F.posexplode("y_window").alias("i", "actual")) \
+               .withColumn("horizon_step", F.col("i") + 1)
+    mae = pred.join(truth, ["series_id", "origin", "horizon_step"]) \
+              .agg(F.avg(F.abs(F.col("_z") - F.col("actual")))).first()[0]
+    assert mae < 1e-3
