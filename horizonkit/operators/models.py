@@ -344,13 +344,9 @@ def mutual_info(df: DataFrame, feature_cols: Sequence[str], target: str, bins: i
         b = F.floor((F.col(c) - F.col(f"_lo_{c}")) / F.nullif(w, F.lit(0.0)))
         return F.coalesce(F.least(b, F.lit(bins - 1)), F.lit(0)).cast("int")
 
-    parts = []
-    for c in feature_cols:
-        j = x.select(F.lit(c).alias("feature"), binc(c).alias("bin_x"), binc(target).alias("bin_y"))
-        parts.append(j)
-    allj = parts[0]
-    for p in parts[1:]:
-        allj = allj.unionByName(p)
+    # one pass: every row emits one (feature, bin_x) pair per feature
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), binc(c).alias("bin_x")) for c in feature_cols])
+    allj = x.select(binc(target).alias("bin_y"), F.inline(pairs))
     joint = allj.groupBy("feature", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("nxy"))
     from pyspark.sql import Window
     wf = Window.partitionBy("feature")
