@@ -171,3 +171,27 @@ def test_window_linear_learns_periodic_series(spark):
     mae = pred.join(truth, ["series_id", "origin", "horizon_step"]) \
               .agg(F.avg(F.abs(F.col("_z") - F.col("actual")))).first()[0]
     assert mae < 1e-3
+
+
+def test_pooled_direct_model_and_ar_backtest(spark):
+    rng = np.random.default_rng(1)
+    rows = [("s", T0 + dt.timedelta(hours=i), float(2 + np.sin(2 * np.pi * i / 24) + rng.normal(0, 0.05)))
+            for i in range(400)]
+    g = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, y double")
+    f = FE.build_features(g)
+    sup = FE.supervised(f, [1, 6])
+    cols = ["y_lag_1", "y_lag_24", "target_hour_sin", "target_hour_cos"]
+    train = FE.train_mask(sup, "2020-01-15 00:00:00", cols)
+    m = MD.fit_direct(train, [1, 6], cols, "linear", pooled=True)
+    origins = spark.createDataFrame([("s", T0 + dt.timedelta(hours=380))], "series_id string, origin timestamp_ntz")
+    fc, _ = I.score_origins(m, f, origins, [1, 6], cols, method="pooled_linear")
+    assert sorted(r["horizon_step"] for r in fc.collect()) == [1, 6]
+    # seasonal AR on the same series beats the flat forecast at the 24 h horizon
+    fit = MD.fit_ar(g, p=1, P=1, m=24)
+    lags = MD.ar_lags(1, 1, 24)
+    o2 = spark.createDataFrame([("s", T0 + dt.timedelta(hours=h)) for h in (300, 330, 360)],
+                               "series_id string, origin timestamp_ntz")
+    ar = B.attach_actuals(MD.ar_backtest(g, fit, o2, 24, lags), g)
+    nv = B.run_backtest(g, o2, [B.naive()], 24)
+    mae = lambda d: d.agg(F.avg(F.abs(F.col("actual") - F.col("forecast")))).first()[0]
+    assert ar.count() == 72 and mae(ar) < mae(nv)
