@@ -17,15 +17,25 @@ def add_season(df: DataFrame, date_col: str = "origin") -> DataFrame:
     return df.withColumn("season", season(date_col))
 
 
-def assign_folds(bt_or_origins: DataFrame, n_folds: int = 4) -> DataFrame:
+def assign_folds(bt_or_origins: DataFrame, n_folds: int = 4, step="day") -> DataFrame:
     """Contiguous chronological folds over the distinct sorted origins;
-    the first ``n mod k`` folds get one extra origin (``ntile``).
-
-    The distinct-origin table has one row per forecast issue time (calendar
-    sized, not data sized), so the global ordering runs on a tiny table.
-    """
-    o = bt_or_origins.select("origin").distinct()
-    return o.withColumn("fold", (F.ntile(n_folds).over(Window.orderBy("origin")) - 1).cast("int"))
+    the first ``n mod k`` folds get one extra origin (as an array split).
+
+    The global rank of each origin comes from the two-phase carry (per time
+    bucket, then carried bucket offsets), so no unpartitioned window is used;
+    rank r maps to fold ``r // (q+1)`` for the first ``m·(q+1)`` ranks and
+    ``m + (r - m·(q+1)) // q`` after them (``q, m = divmod(n, k)``)."""
+    from .halo import carry
+    o = bt_or_origins.select("origin").distinct().withColumn("_all", F.lit(1))
+    ranked = carry(o, ["_all"], "origin", step, [], prev=False, nxt=False, position=True)
+    n = o.groupBy("_all").agg(F.count(F.lit(1)).alias("_n"))
+    x = ranked.join(n, "_all")
+    r = F.col("_pos") - 1
+    q = F.floor(F.col("_n") / n_folds)
+    m = F.col("_n") - q * n_folds
+    head = m * (q + 1)
+    fold = F.when(r < head, F.floor(r / (q + 1))).otherwise(m + F.floor((r - head) / F.greatest(q, F.lit(1))))
+    return x.select("origin", fold.cast("int").alias("fold"))
 
 
 def fold_labels(folds: DataFrame) -> DataFrame:
