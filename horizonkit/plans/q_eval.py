@@ -231,15 +231,16 @@ lab AS (SELECT w.*, CASE
 
 
 def labelled_cases(spark, sf_dir):
-    g = T.hourly_grid(spark, sf_dir)
+    """Worst cases labelled by gap ranges (hourly gap islands) and flagged days
+    (hours with |z| > 3 against their series)."""
+    from ..operators import anomaly as A
+    from ..operators import grid as G
+    g = materialize(T.hourly_grid(spark, sf_dir))
     bt = hourly_backtest(spark, sf_dir, grid=g)
     cases = C.worst_cases(bt, 10)
-    from ..operators import grid as G
     ranges = G.find_gaps(g, ["y"], step="hour").select(F.col("start").alias("range_start"),
                                                        F.col("end").alias("range_end"))
-    w = Window.partitionBy("series_id")
-    z = (F.col("y") - F.avg("y").over(w)) / F.stddev_samp("y").over(w)
-    days = g.select(day_of("ts").alias("day"), z.alias("z")).where(F.abs("z") > 3).select("day")
+    days = A.zscore(g).where(F.col("zscore_flag")).select(day_of("ts").alias("day"))
     return C.label_context(cases, ranges, days)
 
 
