@@ -18,14 +18,14 @@ from typing import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import all_not_null
-from ..functions.timecols import add_steps, epoch_seconds, step_seconds
+from ..functions.timecols import epoch_seconds
 from .halo import windowed
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import backtest as B
 from ..operators import inference as I
 from ..session import scratch_path
 from ..sources import store as S

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ..functions.exprs import all_not_null

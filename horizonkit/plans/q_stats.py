@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.timecols import day_of
 from ..operators import anomaly as A
 from ..operators import features as FE
 from ..operators import grid as G
