@@ -136,11 +136,15 @@ def p7_feature_importance(spark, sf_dir):
 
 @register("p8_permutation_importance")
 def p8_permutation_importance(spark, sf_dir):
-    g, split, f, sup = supervised_frame(spark, sf_dir)
-    _, _, _, models = fit_models(spark, sf_dir)
-    test = sup.join(split.select("series_id", "test_start"), "series_id").where(F.col("ts") >= F.col("test_start"))
+    """MAE increase at h=24 when one input column is permuted (test period rows)."""
+    g, split, f, models = fit_models(spark, sf_dir)
+    test = FE.supervised(f, HORIZONS).join(split.select("series_id", "test_start"), "series_id") \
+             .where(F.col("ts") >= F.col("test_start")).where(F.col("horizon") == 24).persist()
     cols = ["y_lag_1", "y_lag_24", "y_lag_168", "y_roll_mean_24", "hour_sin", "target_hour_sin"]
-    return MD.permutation_importance(models, test, cols, 24)
+    res = MD.permutation_importance(models, test, cols, 24)
+    res = spark.createDataFrame(res.collect(), res.schema)  # six rows; release the cached test rows
+    test.unpersist()
+    return res
 
 
 MI_COLS = ["y_lag_1", "y_lag_6", "y_lag_24", "y_lag_168", "y_diff_1", "n_events"]
