@@ -149,7 +149,8 @@ def improvement(lb: DataFrame, baseline: str, keys: Sequence[str] = ()) -> DataF
     else:  # one baseline row: join on a constant key
         j = lb.withColumn("_one", F.lit(1)).join(base.withColumn("_one", F.lit(1)), "_one").drop("_one")
     return j.select(*keys, "method", "MAE", "baseline_mae",
-                    ((F.col("baseline_mae") - F.col("MAE")) / F.col("baseline_mae") * 100).alias("improvement_pct"))
+                    ((F.col("baseline_mae") - F.col("MAE")) / F.nullif(F.col("baseline_mae"), F.lit(0.0)) * 100)
+                    .alias("improvement_pct"))
 
 
 def avoided_cost(imp: DataFrame, params: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ def agreement(a: DataFrame, b: DataFrame, tolerance: float = 0.02, by: Sequence[
     if not by:  # two one-row scorings: join on a constant key
         sa, sb, by = sa.withColumn("_one", F.lit(1)), sb.withColumn("_one", F.lit(1)), ["_one"]
     j = sa.join(sb, by)
-    gap = F.abs(F.col("mae_a") - F.col("mae_b")) / F.col("mae_b")
+    gap = F.abs(F.col("mae_a") - F.col("mae_b")) / F.nullif(F.col("mae_b"), F.lit(0.0))
     by = [c for c in by if c != "_one"]
     return j.select(*by, "mae_a", "mae_b", "n_a", "n_b", gap.alias("rel_gap"),
                     ((gap < tolerance) & (F.col("n_a") == F.col("n_b"))).alias("agrees"))

@@ -73,7 +73,7 @@ def acf(df: DataFrame, col: str = "y", nlags: int = 60, keys=("series_id",), ts=
     s = x.groupBy(*keys).agg(F.sum(F.col("_d") * F.col("_d")).alias("_p0"),
                              *[F.sum(f"_p{k}").alias(f"_p{k}") for k in range(1, nlags + 1)],
                              F.count("_d").alias("n"))
-    rows = F.array(*[F.struct(F.lit(k).alias("lag"), (F.col(f"_p{k}") / F.col("_p0")).alias("acf"))
+    rows = F.array(*[F.struct(F.lit(k).alias("lag"), (F.col(f"_p{k}") / F.nullif(F.col("_p0"), F.lit(0.0))).alias("acf"))
                      for k in range(0, nlags + 1)])
     return s.select(*keys, "n", F.inline(rows))
 
@@ -82,7 +82,7 @@ def ljung_box(acf_df: DataFrame, lags: Sequence[int] = (24, 48), keys=("series_i
     """Q = n(n+2) Σ_{k<=K} r_k²/(n-k) with a chi-square(K) p-value."""
     keys = list(keys)
     a = acf_df.where(F.col("lag") >= 1)
-    aggs = [F.sum(F.when(F.col("lag") <= K, F.col("acf") * F.col("acf") / (F.col("n") - F.col("lag"))))
+    aggs = [F.sum(F.when(F.col("lag") <= K, F.col("acf") * F.col("acf") / F.nullif(F.col("n") - F.col("lag"), F.lit(0))))
             .alias(f"_s{K}") for K in lags]
     s = a.groupBy(*keys, "n").agg(*aggs)
     rows = F.array(*[F.struct(F.lit(K).alias("lag"), (F.col("n") * (F.col("n") + 2) * F.col(f"_s{K}")).alias("lb_stat"))

@@ -94,3 +94,10 @@ def test_isolation_forest_flags_outlier(spark):
     out = A.isolation_forest(df, ["a", "b"], contamination=0.01, n_trees=20, sample_size=64)
     flagged = {r["ts"] for r in out.where("iforest_flag").collect()}
     assert rows[123][1] in flagged and len(flagged) <= 8
+
+
+def test_constant_series_has_undefined_acf_not_an_error(spark):
+    a = S.acf(daily(spark, [3.0] * 50), "y", 5).collect()
+    assert all(r["acf"] is None for r in a)
+    lb = S.ljung_box(S.acf(daily(spark, [1.0, 2.0, 3.0]), "y", 5), (5,)).collect()
+    assert len(lb) == 1
