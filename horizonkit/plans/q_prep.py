@@ -298,3 +298,11 @@ def r4_month_year_matrix(spark, sf_dir):
     d = T.daily_grid(spark, sf_dir)
     m = d.select("series_id", F.month("ts").alias("month"), F.year("ts").cast("string").alias("year"), "y")
     return out(m.groupBy("series_id", "month").pivot("year").agg(F.avg("y")))
+
+
+@register("g2_top_gaps", GAPS_SQL + """
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY series_id ORDER BY duration_seconds DESC, "start")
+  AS INTEGER) AS rank FROM gaps) t WHERE rank <= 10""")
+def g2_top_gaps(spark, sf_dir):
+    """The ten longest gaps of each series (ties by start)."""
+    return G.top_gaps(G.find_gaps(T.minute_grid(spark, sf_dir), ["y"], step="minute"), 10)
