@@ -28,8 +28,9 @@ MODEL_FEATURES = ["hour_sin", "hour_cos", "dayofweek_sin", "dayofweek_cos", "mon
 
 
 def _split(spark, sf_dir, frac=0.2):
-    """Model input: the refreshed hourly grid (minute data interpolated first)."""
-    g = T.refreshed_hourly(spark, sf_dir)
+    """Model input: the refreshed hourly grid (minute data interpolated first),
+    checkpointed once — split, features and actuals all read it."""
+    g = materialize(T.refreshed_hourly(spark, sf_dir))
     return g, B.split_point(g, frac)
 
 
