@@ -274,7 +274,8 @@ def k1_improvement(spark, sf_dir):
 
 @register("k2_avoided_cost", f"""WITH {K_SQL}
 SELECT series_id, method, round(MAE, {R}) AS MAE, round(baseline_mae, {R}) AS baseline_mae,
-  round(improvement_pct, {R}) AS improvement_pct, CAST(10000 AS BIGINT) AS households, 20.0 AS premium_per_mwh,
+  round(improvement_pct, {R}) AS improvement_pct, CAST(10000 AS BIGINT) AS households,
+  CAST(20.0 AS DOUBLE) AS premium_per_mwh,
   round((baseline_mae - MAE) * 8760 * 10000 / 1000 * 20.0, {R}) AS avoided_cost FROM imp""")
 def k2_avoided_cost(spark, sf_dir):
     lb = M.score(bt24(spark, sf_dir), ["series_id", "method"]).select("series_id", "method", "MAE")
