@@ -84,12 +84,26 @@ def point_loss(kind: str, actual="actual", forecast="forecast") -> Column:
     raise ValueError(f"Unknown loss kind: {kind!r}")
 
 
+# Fixed value: rounding offset of the comparison edge (boundary at the fractional
+# part 0.381966…, away from the exact decimal ties that decimal data produces).
+ROUND_OFFSET = 0.6180339887498949
+
+
+def portable_round(c, digits: int = 6) -> Column:
+    """``floor(x·10^d + c) / 10^d``: plain IEEE arithmetic, so any engine
+    evaluating the same formula on the same double gets the same bits (no
+    decimal-tie or negative-zero differences); error < 10^-d. Valid for
+    |x| < 9e12."""
+    scale = float(10 ** digits)
+    return F.floor(col(c) * F.lit(scale) + F.lit(ROUND_OFFSET)) / F.lit(scale)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE column (used at the edge of comparison queries)."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
+            out.append(portable_round(f.name, digits).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
