@@ -87,15 +87,18 @@ def point_loss(kind: str, actual="actual", forecast="forecast") -> Column:
 # Fixed value: rounding offset of the comparison edge (boundary at the fractional
 # part 0.381966…, away from the exact decimal ties that decimal data produces).
 ROUND_OFFSET = 0.6180339887498949
+ROUND_LIMIT = 1e12  # larger magnitudes are left unrounded (no long overflow)
 
 
 def portable_round(c, digits: int = 6) -> Column:
     """``floor(x·10^d + c) / 10^d``: plain IEEE arithmetic, so any engine
     evaluating the same formula on the same double gets the same bits (no
-    decimal-tie or negative-zero differences); error < 10^-d. Valid for
-    |x| < 9e12."""
+    decimal-tie or negative-zero differences); error < 10^-d. Magnitudes of
+    ``ROUND_LIMIT`` and above pass through unchanged."""
     scale = float(10 ** digits)
-    return F.floor(col(c) * F.lit(scale) + F.lit(ROUND_OFFSET)) / F.lit(scale)
+    x = col(c)
+    return F.when(F.abs(x) < F.lit(ROUND_LIMIT), F.floor(x * F.lit(scale) + F.lit(ROUND_OFFSET)) / F.lit(scale)) \
+        .otherwise(x)
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

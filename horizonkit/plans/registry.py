@@ -7,7 +7,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.exprs import ROUND_OFFSET, round_doubles
+from ..functions.exprs import ROUND_LIMIT, ROUND_OFFSET, round_doubles
 from . import oracle as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,8 +49,9 @@ def portable_rounding(sql: str, digits: int = O.R) -> str:
         if nd != str(digits):
             out.append(sql[i:k])
         else:
-            out.append(sql[i:j] + f"(floor(({portable_rounding(arg, digits)}) * 1e{digits} + {ROUND_OFFSET!r})"
-                                  f" / 1e{digits})")
+            e = portable_rounding(arg, digits)
+            out.append(sql[i:j] + f"(CASE WHEN abs({e}) < {ROUND_LIMIT!r} THEN floor(({e}) * 1e{digits} + "
+                                  f"{ROUND_OFFSET!r}) / 1e{digits} ELSE ({e}) END)")
         i = k
 
 
