@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import nan_to_null
+
 # Column layout of the raw semicolon-delimited measurement text.
 RAW_COLUMNS = ["Date", "Time", "Global_active_power", "Global_reactive_power", "Voltage", "Global_intensity",
                "Sub_metering_1", "Sub_metering_2", "Sub_metering_3"]
@@ -42,7 +44,7 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] = RAW_
     nums = [c for c in columns if c not in ("Date", "Time")]
     out = [F.col(extra_key)] if extra_key else []
     out += [ts.alias("datetime")]
-    out += [F.expr(f"try_cast(`{c}` AS double)").alias(rename.get(c, c)) for c in nums]
+    out += [nan_to_null(F.expr(f"try_cast(`{c}` AS double)")).alias(rename.get(c, c)) for c in nums]
     return raw.select(*out)
 
 
@@ -74,7 +76,8 @@ def latest_origin(df: DataFrame, keys=("series_id",), ts="ts") -> DataFrame:
 # ---------------------------------------------------------------- S7, S8
 def save_results(df: DataFrame, root: str, result_set: str) -> None:
     """Store one named result set (its partition is replaced on re-run)."""
-    df.withColumn("result_set", F.lit(result_set)).write.mode("overwrite").partitionBy("result_set").parquet(root)
+    (df.withColumn("result_set", F.lit(result_set)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("result_set").parquet(root))
 
 
 def load_results(spark: SparkSession, root: str, result_set: str | None = None) -> DataFrame:

@@ -68,9 +68,9 @@ def lineitem_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_shipdate", "l_quantity", "l_extendedprice",
                                                       "l_discount", "l_tax")
     d = (li.groupBy(day_of("l_shipdate").alias("ts"))
-           .agg(F.sum("l_quantity").alias("quantity"),
-                F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
-                F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"),
+           .agg(F.sum(nan_to_null("l_quantity")).alias("quantity"),
+                F.sum(nan_to_null(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("revenue"),
+                F.avg(nan_to_null("l_discount")).alias("discount"), F.avg(nan_to_null("l_tax")).alias("tax"),
                 F.count(F.lit(1)).cast("double").alias("n_lines"))
            .withColumn("series_id", F.lit("all")))
     return to_grid(d, ["series_id"], "ts", "day")

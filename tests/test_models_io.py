@@ -195,3 +195,11 @@ def test_pooled_direct_model_and_ar_backtest(spark):
     nv = B.run_backtest(g, o2, [B.naive()], 24)
     mae = lambda d: d.agg(F.avg(F.abs(F.col("actual") - F.col("forecast")))).first()[0]
     assert ar.count() == 72 and mae(ar) < mae(nv)
+
+
+def test_raw_reader_maps_nan_to_null(spark, tmp_path):
+    p = tmp_path / "rawnan"
+    p.mkdir()
+    (p / "a.txt").write_text("Date;Time;v\n1/1/2007;0:00:00;nan\n1/1/2007;0:01:00;2.5\n")
+    df = S.read_delimited(spark, str(p), ["Date", "Time", "v"], rename={}).orderBy("datetime").collect()
+    assert df[0]["v"] is None and df[1]["v"] == 2.5
