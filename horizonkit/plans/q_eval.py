@@ -292,8 +292,9 @@ def c4_point_loss(spark, sf_dir):
 
 
 @register("m9_season_matrix", f"""WITH {O.BT24}, s AS (
-  SELECT series_id, {SEASON_SQL} AS season, method, abs(actual - forecast) AS e FROM bt WHERE {_ok()})
-PIVOT s ON method USING round(avg(e), {R}) GROUP BY series_id, season""")
+  SELECT series_id, {SEASON_SQL} AS season, method, round(avg(abs(actual - forecast)), {R}) AS mae
+  FROM bt WHERE {_ok()} GROUP BY 1, 2, 3)
+PIVOT s ON method USING first(mae) GROUP BY series_id, season""")
 def m9_season_matrix(spark, sf_dir):
     """Season × method MAE matrix (the pivoted view of M9)."""
     t = M.by_season(bt24(spark, sf_dir), KS)
@@ -301,8 +302,9 @@ def m9_season_matrix(spark, sf_dir):
 
 
 @register("m8_fold_matrix", f"""WITH {O.BT24}, {FOLDS_SQL}, s AS (
-  SELECT series_id, fold, method, abs(actual - forecast) AS e FROM bt JOIN folds USING (origin) WHERE {_ok()})
-PIVOT s ON method USING round(avg(e), {R}) GROUP BY series_id, fold""")
+  SELECT series_id, fold, method, round(avg(abs(actual - forecast)), {R}) AS mae
+  FROM bt JOIN folds USING (origin) WHERE {_ok()} GROUP BY 1, 2, 3)
+PIVOT s ON method USING first(mae) GROUP BY series_id, fold""")
 def m8_fold_matrix(spark, sf_dir):
     """Fold × method MAE matrix (the pivoted view of M8)."""
     bt = bt24(spark, sf_dir)
