@@ -86,3 +86,11 @@ def test_halo_plan_partitions_by_bucket(make_series):
     df = make_series(hourly_rows(300))
     plan = FE.lags(df, ks=[1, 24])._jdf.queryExecution().executedPlan().toString()
     assert "_hk_b" in plan
+
+
+def test_no_series_only_window_in_feature_plan(make_series):
+    """Every Window operator of the feature plan is partitioned by (series, bucket)."""
+    df = make_series(hourly_rows(400))
+    plan = FE.build_features(df)._jdf.queryExecution().executedPlan().toString()
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln and "WindowGroupLimit" not in ln]
+    assert windows and all("_hk_b" in ln for ln in windows)
