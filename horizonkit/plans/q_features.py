@@ -10,6 +10,7 @@ from ..operators import features as FE
 from ..operators import quality as V
 from ..sources import tables as T
 from . import oracle as O
+from ..session import materialize
 from .registry import out, register
 
 R = O.R
@@ -68,7 +69,7 @@ def flagged_days(hourly):
 
 
 def features(spark, sf_dir):
-    h = T.hourly_grid(spark, sf_dir)
+    h = materialize(T.hourly_grid(spark, sf_dir))  # read by the flag table and the features
     return FE.build_features(h, "y", flagged_days(h))
 
 
