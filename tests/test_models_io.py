@@ -203,3 +203,17 @@ def test_raw_reader_maps_nan_to_null(spark, tmp_path):
     (p / "a.txt").write_text("Date;Time;v\n1/1/2007;0:00:00;nan\n1/1/2007;0:01:00;2.5\n")
     df = S.read_delimited(spark, str(p), ["Date", "Time", "v"], rename={}).orderBy("datetime").collect()
     assert df[0]["v"] is None and df[1]["v"] == 2.5
+
+
+def test_run_log_appends_and_versions_mark_latest(spark):
+    log = scratch_path(spark, "t-runlog")
+    S.log_run(spark, log, "r1", {"horizon": 24}, {"mae": 0.5})
+    S.log_run(spark, log, "r2", {"horizon": 168}, {"mae": 0.7})
+    rows = spark.read.parquet(log).collect()
+    assert {(r["run"], r["kind"], r["key"]) for r in rows} == {("r1", "param", "horizon"), ("r1", "metric", "mae"),
+                                                              ("r2", "param", "horizon"), ("r2", "metric", "mae")}
+    reg = scratch_path(spark, "t-reg2")
+    S.register_version(spark, reg, "m", "/a")
+    S.register_version(spark, reg, "m", "/b")
+    latest = [r for r in S.versions(spark, reg).collect() if r["is_latest"]]
+    assert [(r["version"], r["path"]) for r in latest] == [(2, "/b")]
