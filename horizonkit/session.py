@@ -8,7 +8,10 @@ AQE so that plans behave the same locally and on a cluster.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,20 +43,42 @@ def get_spark(master: str | None = None, app: str = "horizonkit", shuffle_partit
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors (once per application), so that Python
+    functions run wherever the driver was started and nothing need be installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="horizonkit-"), "horizonkit.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is only read.
-    When it is unset (tests, a laptop) a folder is created under ``fallback``
-    (default: the system temp folder) and registered.
+    When it is unset in local mode (tests, a laptop) a folder is created under
+    ``fallback`` (default: the system temp folder) and registered. On a cluster
+    an unset folder is an error: executors would each write to their own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if fallback is None and not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "horizonkit-ckpt")
         d = os.path.join(base, uuid.uuid4().hex)
         spark.conf.set("spark.checkpoint.dir", d)
