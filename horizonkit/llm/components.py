@@ -13,8 +13,7 @@ from .tables import stored
 #: Lists of up to this many members are compared pair by pair (so at most half
 #: as many pairs per member); longer ones go through pivots first.
 SMALL_LIST = 24
-PIVOTS = 4
-PIVOT_ROUNDS = 2
+PIVOTS = 2
 MAX_ROUNDS = 60
 
 
@@ -32,17 +31,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = None
     for _ in range(MAX_ROUNDS):
         both = e.union(e.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        low = both.groupBy("a").agg(F.min("b").alias("m"))
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
-        small = (joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-                 .union(low.select("a", F.col("m").alias("b"))).distinct())
+        small = (large.join(low, "a").select(F.explode(F.array(
+            F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
+            .select("e.*").where("a <> b").distinct())
         e = stored(small, "cc")
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return e.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component")).union(
+        if now == before or not now[0]:
+            return e.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
                 e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
         before = now
     raise RuntimeError("connected components did not converge")
@@ -63,41 +61,29 @@ def list_pairs(members: DataFrame) -> DataFrame:
     return out.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def link_lists(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str,
-               known: DataFrame | None = None) -> DataFrame:
-    """Links among the members of inverted lists, enough for exact components.
+def link_lists(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Edges (a, b) with the components of all links among members of inverted lists.
 
     ``members``: (key, id), a pair is a candidate if it shares a key. ``verify``
-    maps pairs (a, b) to those that are links. Returns verified links whose
-    components are those of *all* links between candidates (``known`` links are
-    added): every short list is compared pair by pair. In a long list, pivots are
-    compared with all; what that joins to one component needs no further pair, and
-    after PIVOT_ROUNDS every pair still in two components is compared, none left
-    out. A dense group of n near-copies thus costs about n pairs."""
+    maps pairs (a, b) to those that are links. Every short list is compared pair by
+    pair. In a long one, pivots are compared with all members; members that this
+    joins to one component need no further pair, and every pair whose ends are still
+    in two components is compared, none left out. So a dense group of n near-copies
+    costs about n pairs, and the components are those of comparing everything."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(members.join(sizes, "key").select("key", "id", "n"), f"{name}-lists")
     links = stored(verify(list_pairs(members)), f"{name}-links")
-    links = links if known is None else links.union(known)
-    rest = members.where(F.col("n") > SMALL_LIST).select("key", "id")
-    for left in range(PIVOT_ROUNDS, -1, -1):
-        if rest.isEmpty():
-            break
-        of = connected_components(links).withColumnRenamed("id", "node")
-        placed = rest.join(of, rest.id == of.node, "left").select(
-            "key", "id", F.coalesce("component", "id").alias("component"))
-        open_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        placed = stored(placed.join(open_keys.select("key"), "key"), f"{name}-open")
-        rest = placed.select("key", "id")
-        if rest.isEmpty():
-            break
-        if left:  # one member of each component stands first: pivots from different ones
-            pivots = (placed.groupBy("key", F.pmod(F.xxhash64("component", F.lit(left)), F.lit(PIVOTS)).alias("part"))
-                      .agg(F.min(F.struct(F.xxhash64("id", F.lit(left)).alias("o"), "id", "component")).alias("p"))
-                      .select("key", F.col("p.id").alias("other"), F.col("p.component").alias("theirs")))
-            pairs = placed.join(pivots, "key").where("component <> theirs")
-        else:
-            other = placed.select("key", F.col("id").alias("other"), F.col("component").alias("theirs"))
-            pairs = placed.join(other, "key").where("component < theirs")
-        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        links = links.union(stored(verify(pairs), f"{name}-links"))
-    return links
+    long = members.where(F.col("n") > SMALL_LIST).select("key", "id")
+    if long.isEmpty():
+        return links
+    of = connected_components(links)
+    node = of.select(F.col("id").alias("node"), "component")
+    placed = stored(long.join(node, long.id == node.node, "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")), f"{name}-long")
+    ends = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    still = stored(placed.join(ends.select("key"), "key", "left_semi"), f"{name}-open")
+    other = still.select("key", F.col("id").alias("other"), F.col("component").alias("theirs"))
+    pairs = (still.join(other, "key").where("component < theirs")
+             .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
+    return of.select(F.col("id").alias("a"), F.col("component").alias("b")).union(
+        stored(verify(pairs), f"{name}-links"))

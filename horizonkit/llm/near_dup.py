@@ -67,10 +67,9 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, similarity: float = 0.85)
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of digests whose union sketch allows the similarity."""
-    side = classes.select("digest", "sketch")
-    two = (pairs.join(side.select(F.col("digest").alias("a"), F.col("sketch").alias("sa")), "a")
-           .join(side.select(F.col("digest").alias("b"), F.col("sketch").alias("sb")), "b"))
+    """Pairs (a, b) of documents whose union sketch allows the similarity."""
+    two = (pairs.join(classes.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a")
+           .join(classes.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b"))
     two = two.withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)).withColumn(
         "both", F.size(F.array_intersect("u", F.array_intersect("sa", "sb"))))
     n = F.size("u")
@@ -78,36 +77,27 @@ def estimated(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFr
     return two.where(F.col("both") >= similarity * n - slack * F.sqrt(n)).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """Pairs of digests whose whole sets have 100 * intersection >= percent * union."""
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Pairs whose whole sets have 100 * intersection >= percent * union."""
     pairs = stored(pairs, "near-candidates")
-    need = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    reps = classes.join(need, "digest").select("digest", F.col("rep").alias("doc_id"))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(reps, "doc_id")
-
-    def own(cols):  # an id that occurs twice has two texts: only that of the class counts
-        for i, j, sets in _sets(cols["text"], shingle):
-            keep = [k for k, s in enumerate(sets) if len(s) and _digest(s) == cols["digest"][i + k]]
-            yield {"digest": [cols["digest"][i + k] for k in keep], "text": [cols["text"][i + k] for k in keep]}
-
-    texts = stored(map_batches(rows.select("digest", "text"), own, "digest binary, text string")
-                   .groupBy("digest").agg(F.first("text").alias("text")), "near-texts")
-    two = (pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a")
-           .join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")), "b"))
+    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(need, "doc_id"), "near-texts")
+    two = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
+           .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"))
 
     def check(cols):
         both = [t for p in zip(cols["ta"], cols["tb"]) for t in p]
         ok = []
-        for i, j in batches([len(x) + len(y) for x, y in zip(cols["ta"], cols["tb"])]):
+        for i, j in batches([len(x or "") + len(y or "") for x, y in zip(cols["ta"], cols["tb"])]):
             sets = shingle_sets(words(both[2 * i:2 * j]), shingle)
             for k in range(j - i):
                 x, y = sets[2 * k], sets[2 * k + 1]
                 shared = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                if len(x) and 100 * shared >= percent * (len(x) + len(y) - shared):
                     ok.append(i + k)
         yield {"a": [cols["a"][k] for k in ok], "b": [cols["b"][k] for k in ok]}
 
-    return map_batches(two, check, "a binary, b binary")
+    return map_batches(two, check, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE) -> DataFrame:
@@ -124,20 +114,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE)
     named = rows.where("doc_id is not null and n_shingles > 0")
     classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"),
                                                  F.first("keys").alias("keys")), "near-classes")
-    members = classes.select("digest", F.explode("keys").alias("key")).select("key", F.col("digest").alias("id")).distinct()
-
-    def verify(pairs):
-        return confirmed(estimated(pairs, classes, similarity), docs, classes, percent, shingle)
-
-    links = link_lists(members, verify, "near")
-    rep = classes.select("digest", "rep")
-    edges = (links.join(rep.select(F.col("digest").alias("a"), F.col("rep").alias("x")), "a")
-             .join(rep.select(F.col("digest").alias("b"), F.col("rep").alias("y")), "b")
-             .select(F.col("x").alias("a"), F.col("y").alias("b")))
-    placed = stored(named.select("doc_id", "digest").distinct().join(rep, "digest").select("doc_id", "rep"), "near-placed")
+    members = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("id"))
+    links = link_lists(members, lambda p: confirmed(estimated(p, classes, similarity), docs, percent, shingle), "near")
+    placed = stored(named.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest")
+                    .select("doc_id", "rep").distinct(), "near-placed")
     twice = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("m"), F.collect_set("rep").alias("all"))
     twice = twice.where("a <> m").select("a", F.explode("all").alias("b"))
-    of = connected_components(edges.union(twice))
+    of = connected_components(links.union(twice))
     node = (placed.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(of, F.col("rep") == of.id, "left")
             .select("doc_id", F.coalesce("component", "rep").alias("found")))
     return (rows.select("doc_id", "n_shingles").join(node, "doc_id", "left")
