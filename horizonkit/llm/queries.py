@@ -24,3 +24,22 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 def op4_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack, pieces
+    return pack(pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), digest=True))
+
+
+@query
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import lookup, write_shards
+    docs = table(spark, sf_dir, "documents")
+    manifest = write_shards(docs, vocabulary("byte_bpe_50k.json"))
+    return lookup(docs, manifest).select("doc_id", "start", "n_tokens", "ids_crc32", "shard")

@@ -39,21 +39,25 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict], Iterator[dict] | dict], schema: str) -> DataFrame:
-    """``mapInArrow`` with plain column lists: ``fn`` gets {column: list} for each
-    Arrow batch and yields {column: values} in the order of ``schema``."""
+def map_stream(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
+    """``mapInArrow`` with plain column lists: ``fn`` gets {column: list} of each Arrow
+    batch of a partition, in order, and yields {column: values} for ``schema``."""
     ship_package(df.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches_in):
-        for b in batches_in:
-            if b.num_rows:
-                for cols in fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}):
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in out], schema=out)
+        plain = ({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)} for b in batches_in if b.num_rows)
+        for cols in fn(plain):
+            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
 
 
+def map_batches(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str) -> DataFrame:
+    """``map_stream`` with each batch on its own."""
+    return map_stream(df, lambda stream: (cols for batch in stream for cols in fn(batch)), schema)
+
+
 def without(df: DataFrame, drop: DataFrame, col: str) -> DataFrame:
     """Rows of ``df`` whose ``col`` is not in ``drop`` (null ids stay)."""
     return df.join(drop.select(col).where(F.col(col).isNotNull()).distinct(), col, "left_anti").select(df.columns)
