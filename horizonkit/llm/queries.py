@@ -43,3 +43,9 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = write_shards(docs, vocabulary("byte_bpe_50k.json"))
     return lookup(docs, manifest).select("doc_id", "start", "n_tokens", "ids_crc32", "shard")
+
+
+@query
+def op9_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
