@@ -49,3 +49,9 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import contaminations
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -23,6 +23,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: White space and every other ASCII byte that is no letter or digit.
+NO_WORD = np.ones(256, dtype=bool)
+NO_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -81,11 +84,11 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((run[end] - run[start]) * _power("down", len(data) + 1)[start] + (end - start).astype(U64))
 
 
-def words(texts: list, lower: bool = True) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of every text; hashes are of the words with
-    A-Z lower-cased when ``lower``."""
+def words(texts: list, lower: bool = True, space: np.ndarray = _IS_SPACE) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` (or runs of bytes not in ``space``) of every
+    text; hashes are of the words with A-Z lower-cased when ``lower``."""
     data, text_start = join_texts(texts)
-    space = _IS_SPACE[data]
+    space = space[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).view(np.int8)))
     start, end = edge[0::2], edge[1::2]
     h = hash_spans(_LOWER[data] if lower else data, start, end)
