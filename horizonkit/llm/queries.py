@@ -55,3 +55,15 @@ def op9_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontamination import contaminations
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .katz import score
+    return score(table(spark, sf_dir, "documents"))
