@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +69,76 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .katz import score
     return score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_vp_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vp_tree import nearest
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page and every document; documents have no address, their source is the host."""
+    from .language_id import identify, train
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    none = F.lit(None).cast("string")
+    records = pages.select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), none.alias("text"), "html", none.alias("host"), "url").union(
+        docs.select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text", none.alias("html"), F.col("source").alias("host"), none.alias("url")))
+    found = identify(records, *train(docs))
+    return found.select(F.expr("if(kind = 'document', id, null)").alias("doc_id"), F.expr("if(kind = 'page', id, null)").alias("page_id"),
+                        "lang", "probability", "text_lang", "declared", "address_lang", "host")
+
+
+def _spans_text(col: str):
+    return F.array_join(F.transform(col, lambda s: F.concat(s["start"].cast("string"), F.lit("+"), s["length"].cast("string"))), ",")
+
+
+@query
+def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat_format import neighbour_pairs, preference_format
+    out = preference_format(*neighbour_pairs(table(spark, sf_dir, "conversations")))
+    return out.select("pair_id", "n_prompt_turns", "prompt", "chosen", "rejected",
+                      _spans_text("chosen_spans").alias("chosen_spans"), _spans_text("rejected_spans").alias("rejected_spans"))
+
+
+SQL["op2_preference_format"] = """
+WITH c AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS even, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+half AS (SELECT pair_id, (max(turn) + 1) // 2 AS half FROM c WHERE even GROUP BY pair_id),
+sides AS (
+  SELECT pair_id, 'c' AS side, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c WHERE even
+  UNION ALL SELECT pair_id, 'r', turn, coalesce(role, ''), coalesce(text, '') FROM c JOIN half USING (pair_id)
+  WHERE (even AND turn < half) OR (NOT even AND turn >= half)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS LAST, role, text) AS pos FROM sides),
+pairs AS (SELECT pair_id, count(*) FILTER (side = 'c') AS nc FROM placed GROUP BY pair_id HAVING count(DISTINCT side) = 2),
+first_diff AS (
+  SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, min(coalesce(a.pos, b.pos)) AS pos
+  FROM (SELECT * FROM placed WHERE side = 'c') a FULL JOIN (SELECT * FROM placed WHERE side = 'r') b
+    ON a.pair_id = b.pair_id AND a.pos = b.pos
+  WHERE a.pos IS NULL OR b.pos IS NULL OR a.role <> b.role OR a.text <> b.text GROUP BY 1),
+prefix AS (SELECT pair_id, CAST(coalesce(f.pos - 1, nc) AS INTEGER) AS n FROM pairs LEFT JOIN first_diff f USING (pair_id)),
+turns AS (
+  SELECT p.pair_id, side, pos, role, text, n, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown
+  FROM placed p JOIN prefix USING (pair_id)),
+at_turn AS (
+  SELECT *, coalesce(sum(length(shown)) OVER (PARTITION BY pair_id, side ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            + length(role) + 5 AS s FROM turns WHERE pos > n),
+done AS (
+  SELECT pair_id, side, string_agg(shown, '' ORDER BY pos) AS body,
+         string_agg(CAST(CAST(s AS BIGINT) AS VARCHAR) || '+' || CAST(length(text) AS VARCHAR), ',' ORDER BY pos) FILTER (role = 'assistant') AS spans
+  FROM at_turn GROUP BY pair_id, side)
+SELECT x.pair_id, x.n AS n_prompt_turns,
+       coalesce((SELECT string_agg(shown, '' ORDER BY pos) FROM turns t WHERE t.pair_id = x.pair_id AND t.side = 'c' AND t.pos <= t.n), '') AS prompt,
+       coalesce(c.body, '') AS chosen, coalesce(r.body, '') AS rejected, coalesce(c.spans, '') AS chosen_spans, coalesce(r.spans, '') AS rejected_spans
+FROM prefix x LEFT JOIN done c ON c.pair_id = x.pair_id AND c.side = 'c' LEFT JOIN done r ON r.pair_id = x.pair_id AND r.side = 'r'
+"""
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
