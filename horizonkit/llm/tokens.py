@@ -1,33 +1,37 @@
 """Token ids of whole texts with the ``tokenizers`` library, encoding each distinct
 piece of text once per worker.
 
-Both public tokenizers cut a text into pieces by a pattern before merging bytes, and
-the ids of a text are those of its pieces in order. Texts of common Latin characters
-are cut here by the tokenizers' own patterns (``word`` also lower-cases; the other
-normal form steps leave these characters alone). Other texts are cut only where the
-patterns always cut: ``word`` at ASCII white space, ``byte`` before a space that a
-visible character follows. Every piece then goes through the library."""
+Both public tokenizers cut a text into pieces by a pattern before merging bytes, and the
+ids of a text are those of its pieces in order. Two levels of pieces are kept:
+
+* spans: a word, for ``byte`` with the white space before it (its pattern always cuts
+  between a visible character and white space; ``word`` drops white space). Spans of a
+  batch are found, hashed (64 bits) and looked up as arrays;
+* parts of a new span. Spans of common Latin characters are cut by the tokenizers' own
+  patterns, others go whole through the library, as does every new part. ``word`` also
+  lower-cases; the other steps of its normal form leave these characters alone."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 
-#: Pieces kept per worker (about 200 bytes each); when full, the cache starts anew.
-CACHE_PIECES = 700_000
-#: Longer pieces are encoded directly and not kept.
-CACHE_CHARS = 40
+from .text_arrays import U64, batches, hash_spans, text_sizes, words
+
+#: Parts (about 200 bytes each), spans (20 bytes) and span ids kept per worker; a full
+#: cache starts anew. Longer parts are not kept.
+CACHE_PARTS, CACHE_SPANS, CACHE_IDS, PART_CHARS = 400_000, 2_000_000, 12_000_000, 40
 
-_WORD_SPLIT = re.compile(r"[ \n\t\r]+")
-_BYTE_SPLIT = re.compile(" (?=[!-~\u00a1-\u167f])")
 # fixed values: the tokenizers' patterns, with the classes written out for _COMMON
 _COMMON = re.compile("[\x00-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
 _S, _N, _AT = r"\t-\r \x85\xa0", "0-9²³¹¼-¾", "'s|'t|'re|'ve|'m|'ll|'d"
 _LOW, _L = "a-zªµºß-öø-\u017f", "a-zA-ZªµºÀ-ÖØ-öø-\u017f"
 _WORD = re.compile(f"{_AT}|[{_LOW}]+|[{_N}]|[^{_S}{_N}{_LOW}]+")
 _BYTE = re.compile(f"{_AT}| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_N}{_L}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_ODD_SPACE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
 
 
 class Encoder:
@@ -38,41 +42,87 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.word = self.tokenizer.normalizer is not None
-        self.cache: dict[str, bytes] = {}
-
-    def _fill(self, pieces: list[str], keep: dict[str, bytes]) -> None:
-        for i in range(0, len(pieces), 20_000):
-            part = pieces[i:i + 20_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for p, e in zip(part, found):
-                keep[p] = np.array(e.ids, "<u4").tobytes()
-
-    def pieces(self, text: str) -> list[str]:
-        if _COMMON.fullmatch(text):
-            return _WORD.findall(text.lower()) if self.word else _BYTE.findall(text)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.parts: dict[str, list[int]] = {}
+        self.hash, self.at, self.count, self.ids = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for i in range(0, len(texts), 10_000)
+                for e in self.tokenizer.encode_batch_fast(texts[i:i + 10_000], add_special_tokens=False)]
+
+    def _cut(self, span: str) -> list[str]:
+        if not _COMMON.fullmatch(span):
+            return [span]
+        return _WORD.findall(span.lower()) if self.word else _BYTE.findall(span)
+
+    def _new(self, spans: list[str]) -> list[list[int]]:
+        """Ids of spans that are not kept yet."""
+        cut = [self._cut(s) for s in spans]
+        new = {p for c in cut for p in c}
+        if len(self.parts) + len(new) > CACHE_PARTS:
+            self.parts = {}
+        new = list(new - self.parts.keys())
+        found, rare = self._library(new), {}
+        for p, x in zip(new, found):
+            (self.parts if len(p) <= PART_CHARS else rare)[p] = x
+        get = {**self.parts, **rare}.__getitem__ if rare else self.parts.__getitem__
+        return [get(c[0]) if len(c) == 1 else [x for p in c for x in get(p)] for c in cut]
+
+    def _keep(self, new: np.ndarray, ids: list[list[int]]) -> None:
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), "<u4", int(n.sum()))
+        at = len(self.ids) + np.cumsum(n) - n
+        place = np.searchsorted(self.hash, new)
+        self.hash, self.at, self.count = (np.insert(a, place, b) for a, b in ((self.hash, new), (self.at, at), (self.count, n)))
+        self.ids = np.concatenate([self.ids, flat])
+
+    def _spans(self, texts: list):
+        w = words(texts)
         if self.word:
-            return _WORD_SPLIT.split(text)
-        p = _BYTE_SPLIT.split(text)
-        p[1:] = [" " + x for x in p[1:]]
-        return p
+            return w, w.start, w.end, w.first
+        ends = w.text_start[1:] - 1  # a text's own end, and white space after its last word
+        last = np.where(np.diff(w.first) > 0, np.append(w.end, 0)[w.first[1:] - 1], w.text_start[:-1])
+        before = np.concatenate([[0], w.end[:-1]])
+        heads = w.first[:-1][np.diff(w.first) > 0]
+        before[heads] = w.text_start[:-1][np.diff(w.first) > 0]
+        tail = np.flatnonzero(ends > last)
+        start, end = np.insert(before, w.first[tail + 1], last[tail]), np.insert(w.end, w.first[tail + 1], ends[tail])
+        return w, start, end, np.searchsorted(start, w.text_start)
+
+    def _batch(self, texts: list) -> Iterator[bytes]:
+        w, start, end, first = self._spans(texts)
+        h = hash_spans(w.data, start, end)
+        if len(self.hash) > CACHE_SPANS or len(self.ids) > CACHE_IDS:
+            self._forget()
+        own, lead, inverse = np.unique(h, return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.hash, own), max(0, len(self.hash) - 1))
+        new = np.flatnonzero(self.hash[place] != own) if len(self.hash) else np.arange(len(own))
+        if len(new):
+            raw = w.data.tobytes()
+            spans = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[lead[new]].tolist(), end[lead[new]].tolist())]
+            self._keep(own[new], self._new(spans))
+        place = np.searchsorted(self.hash, own)[inverse]
+        n = self.count[place]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        ids = self.ids[np.repeat(self.at[place] - upto[:-1], n) + np.arange(upto[-1])]
+        edge = upto[first].tolist()
+        for a, b in zip(edge[:-1], edge[1:]):
+            yield ids[a:b].tobytes()
 
     def encode(self, texts: list) -> Iterator[bytes]:
         """Id bytes of each text (null as empty)."""
-        for i in range(0, len(texts), 256):
-            cut = [self.pieces(t or "") for t in texts[i:i + 256]]
-            new = set().union(*cut) - self.cache.keys()
-            long = [p for p in new if len(p) > CACHE_CHARS]
-            rare: dict[str, bytes] = {}
-            if long:
-                self._fill(long, rare)
-                new.difference_update(long)
-            if len(self.cache) + len(new) > CACHE_PIECES:
-                self.cache.clear()
-                new = {p for ps in cut for p in ps} - rare.keys()
-            self._fill(list(new), self.cache)
-            get, other = self.cache.get, rare.get
-            for ps in cut:
-                yield b"".join([get(p) or other(p) or b"" for p in ps]) if rare else b"".join(map(self.cache.__getitem__, ps))
+        for i, j in batches(text_sizes(texts)):
+            some = [t or "" for t in texts[i:j]]
+            if self.word:
+                some = [t.lower() if _COMMON.fullmatch(t) else t for t in some]
+                yield from self._batch(some)
+                continue
+            odd = {k for k, t in enumerate(some) if not t.isascii() and _ODD_SPACE.search(t)}
+            usual = self._batch([t for k, t in enumerate(some) if k not in odd])
+            for k, t in enumerate(some):
+                yield np.array(self._library([t])[0], "<u4").tobytes() if k in odd else next(usual)
 
 
 _encoders: dict[str, Encoder] = {}
