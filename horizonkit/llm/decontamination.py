@@ -47,7 +47,7 @@ def template(texts: list):
     second = w.data[np.minimum(w.start + 1, len(w.data) - 1)]
     capital = ((head >= 65) & (head <= 90)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
     ends = np.concatenate([[0], np.cumsum(_ENDS[w.data])])
-    before = np.concatenate([[0], w.end[:-1]])
+    before = np.concatenate([[0], w.end])[:-1]
     opens = ends[w.start] - ends[before] > 0
     opens[w.first[:-1][np.diff(w.first) > 0]] = True
     name = capital & ~opens & ~number

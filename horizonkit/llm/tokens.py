@@ -84,7 +84,7 @@ class Encoder:
             return w, w.start, w.end, w.first
         ends = w.text_start[1:] - 1  # a text's own end, and white space after its last word
         last = np.where(np.diff(w.first) > 0, np.append(w.end, 0)[w.first[1:] - 1], w.text_start[:-1])
-        before = np.concatenate([[0], w.end[:-1]])
+        before = np.concatenate([[0], w.end])[:-1]
         heads = w.first[:-1][np.diff(w.first) > 0]
         before[heads] = w.text_start[:-1][np.diff(w.first) > 0]
         tail = np.flatnonzero(ends > last)
