@@ -29,7 +29,7 @@ from ..session import scratch_path
 from .tables import map_stream, parts
 from .text_arrays import U64, batches, mix, text_sizes, words
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 800_000
 MOST_DISCOUNTED = 5
 FOLDS, HELD_OUT = 7, 2
 UNSEEN, START, FIRST_ID = 0, 1, 2

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, link_lists
-from .tables import map_batches, stored
+from .tables import map_batches, small, stored
 from .text_arrays import U64, batches, mix, shingle_sets, text_sizes, window_hashes, words
 
 SHINGLE, SKETCH, INDEXED, RUN = 5, 64, 32, 3
@@ -80,8 +80,8 @@ def estimated(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFr
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     """Pairs whose whole sets have 100 * intersection >= percent * union."""
     pairs = stored(pairs, "near-candidates")
-    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(need, "doc_id"), "near-texts")
+    need = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-needed")
+    texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(small(need), "doc_id"), "near-texts")
     two = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"))
 

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import BROADCAST_ROWS, map_batches, map_stream, stored
+from .tables import map_batches, map_stream, small, stored
 from .text_arrays import NO_WORD, U64, batches, mix, shingle_sets, text_sizes, words
 
 #: Features are kept if the G statistic of their counts is at least this ...
@@ -220,13 +220,12 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
                        F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"))
     truth = stored(labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
                    .agg(F.max(1 - F.col("quality")).alias("is_low"), F.max("toxic").alias("is_toxic")), "quality-labels")
-    side = F.broadcast(truth) if truth.count() <= BROADCAST_ROWS else truth
+    side = small(truth)
     labelled = rows.join(side, "doc_id").select("text", F.xxhash64("doc_id", "text").alias("rid"),
                                                 F.col("is_low").cast("int").alias("low"), F.col("is_toxic").cast("int").alias("toxic"))
     once = stored(_once(labelled), "quality-once")
     seen = once.groupBy("low", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
-    ids = once.select("rid")
-    counted = labelled.join(F.broadcast(ids) if once.count() <= BROADCAST_ROWS else ids, "rid", "left_semi")
+    counted = labelled.join(small(once.select("rid")), "rid", "left_semi")
     counts = stored(_counts(counted).where("neither + low_only + toxic_only + both >= 5"), "quality-counts")
     number = {c: sum(r.n for r in seen if (r.low == 1) + 2 * (r.toxic == 1) == k) for c, k in _CLASS.items()}
     classes = {"low": (("low_only", "both"), ("neither", "toxic_only")), "toxic": (("toxic_only", "both"), ("neither", "low_only"))}

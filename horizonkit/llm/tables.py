@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -15,7 +15,7 @@ from ..session import scratch_path, ship_package
 
 #: A table of at most this many (narrow) rows may be broadcast; beyond it the
 #: callers use a shuffle join that gives the same rows.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -28,17 +28,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if it has at most BROADCAST_ROWS rows; a
+    larger one joins by shuffle, with the same result."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def parts(df: DataFrame) -> int:
     """The session's number of shuffle partitions (set with the data size)."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def row_key(id_col: str, text_col: str) -> Column:
-    """Key of a row: its id and text. Rows equal in both are one and the same to
-    every operator (they share each decision)."""
-    return F.xxhash64(F.col(id_col), F.col(text_col))
-
-
 def map_stream(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` with plain column lists: ``fn`` gets {column: list} of each Arrow
     batch of a partition, in order, and yields {column: values} for ``schema``."""
@@ -60,4 +60,5 @@ def map_batches(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str
 
 def without(df: DataFrame, drop: DataFrame, col: str) -> DataFrame:
     """Rows of ``df`` whose ``col`` is not in ``drop`` (null ids stay)."""
-    return df.join(drop.select(col).where(F.col(col).isNotNull()).distinct(), col, "left_anti").select(df.columns)
+    gone = stored(drop.select(col).where(F.col(col).isNotNull()).distinct(), "dropped")
+    return df.join(small(gone), col, "left_anti").select(df.columns)

@@ -16,7 +16,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _MIX1, _MIX2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 # ASCII lower case, and the whitespace of the word definition [^\x20\x09-\x0D]+
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -21,6 +21,7 @@ import numpy as np
 
 from .text_arrays import U64, batches, hash_spans, text_sizes, words
 
+BATCH_CHARS = 2 << 20
 #: Parts (about 200 bytes each), spans (20 bytes) and span ids kept per worker; a full
 #: cache starts anew. Longer parts are not kept.
 CACHE_PARTS, CACHE_SPANS, CACHE_IDS, PART_CHARS = 400_000, 2_000_000, 12_000_000, 40
@@ -113,7 +114,7 @@ class Encoder:
 
     def encode(self, texts: list) -> Iterator[bytes]:
         """Id bytes of each text (null as empty)."""
-        for i, j in batches(text_sizes(texts)):
+        for i, j in batches(text_sizes(texts), BATCH_CHARS):
             some = [t or "" for t in texts[i:j]]
             if self.word:
                 some = [t.lower() if _COMMON.fullmatch(t) else t for t in some]
