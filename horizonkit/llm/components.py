@@ -48,13 +48,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def list_pairs(members: DataFrame) -> DataFrame:
     """Pairs (a < b) of members (key, id, n) that share a list (of length n): all pairs of a short
-    list; of a long one each of PIVOTS chosen members with all others. Rows made
+    list; of a long one each of PIVOTS members with all others: those whose long lists
+    have most members, as the text that others were copied from keeps all its keys. Rows made
     are at most SMALL_LIST / 2 per member, whatever the lengths."""
     short = members.where(F.col("n") <= SMALL_LIST).select("key", "id")
     pairs = short.alias("l").join(short.withColumnRenamed("id", "other"), "key").where("id < other")
-    long = members.where(F.col("n") > SMALL_LIST).select("key", "id")
-    pivots = (long.groupBy("key", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(PIVOTS)).alias("part"))
-              .agg(F.min(F.struct(F.xxhash64("id").alias("o"), "id")).alias("p"))
+    long = members.where(F.col("n") > SMALL_LIST)
+    central = long.groupBy("id").agg(F.sum("n").alias("weight"))
+    pivots = (long.join(central, "id").groupBy("key", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(PIVOTS)).alias("part"))
+              .agg(F.max(F.struct("weight", F.xxhash64("id").alias("o"), "id")).alias("p"))
               .select("key", F.col("p.id").alias("other")))
     starred = long.join(pivots, "key").where("id <> other")
     out = pairs.select("id", "other").union(starred.select("id", "other"))
