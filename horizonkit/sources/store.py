@@ -1,6 +1,6 @@
 """Sources and sinks.
 
-All writes are idempotent: ``overwrite`` with dynamic partition overwrite, so
+All writes are idempotent: whole tables are replaced, results and forecasts by partition, so
 a re-run replaces a partition instead of appending to it. Paths are under the
 shared checkpoint folder (``spark.checkpoint.dir``) unless given.
 """
@@ -12,6 +12,7 @@ from typing import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +41,9 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] = RAW_
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
     raw = (spark.read.schema(schema).option("sep", sep).option("header", "true").option("nullValue", missing)
                 .option("emptyValue", None).option("mode", "PERMISSIVE").csv(path))
-    ts = F.expr(f"try_to_timestamp(concat_ws(' ', Date, Time), '{ts_format}')").cast("timestamp_ntz")
+    # read as UTC and count from the epoch: wall-clock times whatever the session's zone
+    instant = f"try_to_timestamp(concat_ws(' ', Date, Time, '+0000'), '{ts_format} xx')"
+    ts = F.expr(f"timestampadd(MICROSECOND, unix_micros({instant}), TIMESTAMP_NTZ '1970-01-01 00:00:00')")
     nums = [c for c in columns if c not in ("Date", "Time")]
     out = [F.col(extra_key)] if extra_key else []
     out += [ts.alias("datetime")]
@@ -51,7 +54,8 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] = RAW_
 def write_delimited(df: DataFrame, path: str, ts: str, value_cols: Sequence[str], header: Sequence[str],
                     extra_key: str | None = None, sep: str = ";", missing: str = RAW_MISSING) -> None:
     """Writer for the raw layout (day-first date, ``missing`` for nulls)."""
-    cols = [F.date_format(ts, "d/M/yyyy").alias("Date"), F.date_format(ts, "HH:mm:ss").alias("Time")]
+    cols = [F.concat_ws("/", F.dayofmonth(ts), F.month(ts), F.year(ts)).alias("Date"),
+            F.format_string("%02d:%02d:%02d", F.hour(ts), F.minute(ts), F.second(ts)).alias("Time")]
     cols += [F.col(c).cast("string").alias(h) for c, h in zip(value_cols, header)]
     if extra_key:
         cols.append(F.col(extra_key))
@@ -61,8 +65,9 @@ def write_delimited(df: DataFrame, path: str, ts: str, value_cols: Sequence[str]
 
 # ---------------------------------------------------------------- S2, S3, S6
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Idempotent Parquet materialisation (re-run replaces)."""
-    w = df.write.mode("overwrite")
+    """Idempotent Parquet materialisation (a re-run replaces the whole table,
+    also the partitions it no longer has, whatever the session's overwrite mode)."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -127,7 +132,9 @@ def register_version(spark: SparkSession, registry: str, name: str, bundle_path:
     latest row carrying it."""
     try:
         cur = spark.read.parquet(registry).where(F.col("name") == name).agg(F.max("version")).first()[0] or 0
-    except Exception:  # noqa: BLE001 - first registration: no table yet
+    except AnalysisException as missing:  # first registration: no table yet
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         cur = 0
     v = int(cur) + 1
     spark.createDataFrame([(name, v, bundle_path, alias)], "name string, version int, path string, alias string") \

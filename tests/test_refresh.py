@@ -17,3 +17,41 @@ def test_refresh_idempotent(spark):
     b = {r["table"]: r["n_rows"] for r in run_refresh(spark, SF, root).collect()}
     assert a == b and set(a) == {"minute", "hourly", "daily", "hourly_features"}
     assert a["hourly"] == T.refreshed_hourly(spark, SF).count() == a["hourly_features"]
+
+
+def test_rerun_replaces_stale_partitions(spark, tmp_path):
+    from horizonkit.sources.store import write_table
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([(1, "a"), (2, "b")], "x int, day string"), path, ["day"])
+    write_table(spark.createDataFrame([(3, "b")], "x int, day string"), path, ["day"])
+    assert [(r.x, r.day) for r in spark.read.parquet(path).collect()] == [(3, "b")]
+
+
+def test_raw_times_are_wall_clock_in_any_zone(spark, tmp_path):
+    import datetime as dt
+
+    from horizonkit.sources.store import read_delimited, write_delimited
+    rows = [(dt.datetime(2007, 3, 25, h, 30), float(h)) for h in (1, 2, 3)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("Europe/Paris", "America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            path = str(tmp_path / zone.replace("/", "_"))
+            df = spark.createDataFrame(rows, "ts timestamp_ntz, v double")
+            write_delimited(df, path, "ts", ["v"], ["v"])
+            got = read_delimited(spark, path, columns=("Date", "Time", "v"), rename={}).orderBy("datetime").collect()
+            assert [(r.datetime, r.v) for r in got] == rows
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_registry_raises_on_unreadable_table(spark, tmp_path):
+    import pytest
+
+    from horizonkit.sources.store import register_version
+    bad = tmp_path / "reg"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        register_version(spark, str(bad), "m", "p")
+    assert register_version(spark, str(tmp_path / "new"), "m", "p") == 1
