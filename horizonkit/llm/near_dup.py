@@ -8,7 +8,9 @@ found by a 128-bit digest of the set. Between classes:
    a sketch is a key. Two sets with Jaccard similarity s share such a run unless no
    RUN neighbours in their merged order are all shared; for s = 0.85, RUN = 3 and
    INDEXED = 32 that has probability 1.4e-7, and less above (sets of up to INDEXED
-   values always share one). A passage that many texts share makes few such runs;
+   values always share one). Below 0.85, INDEXED_LOW = 48 are taken (4.4e-8 for s = 0.8),
+   and of sets of up to five values every two neighbours too (four values of five may
+   share no three). A passage that many texts share makes few such runs;
 2. the union-sketch estimate of the similarity filters (five standard deviations
    below the threshold pass);
 3. exact Jaccard on the whole sets, computed anew from the texts, confirms links.
@@ -27,7 +29,7 @@ from .components import connected_components, link_lists
 from .tables import map_batches, small, stored
 from .text_arrays import U64, batches, mix, shingle_sets, text_sizes, window_hashes, words
 
-SHINGLE, SKETCH, INDEXED, RUN = 5, 64, 32, 3
+SHINGLE, SKETCH, INDEXED, INDEXED_LOW, RUN = 5, 64, 32, 48, 3
 _SET_SCHEMA = "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>, keys array<bigint>"
 
 
@@ -48,20 +50,22 @@ def _signed(s: np.ndarray) -> np.ndarray:
 
 def _least(similarity: float) -> int:
     """Smallest set size that can be linked with a different set."""
-    return math.ceil(similarity / (1 - similarity))
+    return math.ceil(similarity / (1 - similarity) - 1e-9)
 
 
 def sketches(docs: DataFrame, shingle: int = SHINGLE, similarity: float = 0.85) -> DataFrame:
     """(doc_id, n_shingles, digest, sketch, keys) of every row of (doc_id, text)."""
-    least = _least(similarity)
+    least, low = _least(similarity), similarity < 0.85
+    indexed = INDEXED_LOW if low else INDEXED
 
     def fn(cols):
         for i, j, sets in _sets(cols["text"], shingle):
-            some = [s[:INDEXED + RUN - 1] if len(s) >= least else s[:0] for s in sets]
+            some = [s[:indexed + RUN - 1] if len(s) >= least else s[:0] for s in sets]
             yield {"doc_id": cols["doc_id"][i:j], "n_shingles": [len(s) for s in sets],
                    "digest": [_digest(s) if len(s) else None for s in sets],
                    "sketch": [_signed(s[:SKETCH]) if len(s) >= least else None for s in sets],
-                   "keys": [window_hashes(s, RUN).view(np.int64) for s in some]}
+                   "keys": [np.concatenate([window_hashes(s, r) for r in ((RUN, 2) if low and len(s) <= 5 else (RUN,))]).view(np.int64)
+                            for s in some]}
 
     return map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), fn, _SET_SCHEMA)
 
