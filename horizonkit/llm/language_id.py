@@ -26,6 +26,7 @@ MAX_LANGUAGES = 256
 DECLARED, ADDRESS, SITE_WEIGHT = 0.9, 0.8, 5.0
 _FLUSH = 32 << 20
 _DROP = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+_HTML = re.compile(r"<html\b", re.I)
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", re.I)
 
 
@@ -36,8 +37,13 @@ def visible(html: str | None) -> str:
 
 def declared(html: str | None) -> str | None:
     """Primary language tag of <html lang>, lower-cased."""
-    m = _LANG.search((html or "")[:20_000])
-    return m.group(1).lower() if m else None
+    html, at = html or "", 0
+    while tag := _HTML.search(html, at):
+        end = html.find(">", tag.start())
+        at = end if end >= 0 else len(html)
+        if m := _LANG.match(html, tag.start(), at):
+            return m.group(1).lower()
+    return None
 
 
 def address(url: str | None) -> tuple[str, str, str | None]:

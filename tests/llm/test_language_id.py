@@ -79,3 +79,10 @@ def test_empty_tables(spark):
     assert L.train(none)[0] == []
     assert L.identify(records, *L.train(none)).collect() == []
     assert L.identify(records, *L.train(spark.createDataFrame([("a b c", "en")], "text string, lang string"))).collect() == []
+
+
+def test_declared_language_wherever_it_stands():
+    for before in ("<!-- " + "x" * 30_000 + " -->", " " * 100_000, "<script>" + "a();" * 20_000 + "</script>"):
+        assert L.declared(before + '<html class="a" lang="pt-BR"><body>') == "pt"
+    assert L.declared("<html>" + "<html " * 3 + "lang=it>") == "it"
+    assert L.declared("<html " * 50_000 + "><html>" * 50_000) is None  # linear
