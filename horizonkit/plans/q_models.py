@@ -17,8 +17,8 @@ from ..session import materialize
 from .registry import out, register
 
 R = O.R
-HORIZONS = (1, 24)
-GBT_PARAMS = {"maxIter": 5, "maxDepth": 4, "minInstancesPerNode": 10, "seed": 42}
+HORIZONS = tuple(range(1, 25))
+GBT_PARAMS = {"seed": 42}  # otherwise the library's own
 MODEL_FEATURES = ["hour_sin", "hour_cos", "dayofweek_sin", "dayofweek_cos", "month_sin", "month_cos", "quarter",
                   "is_weekend", "is_flagged_anomaly", "y_lag_1", "y_lag_6", "y_lag_24", "y_lag_168",
                   "y_roll_mean_24", "y_roll_std_24", "y_roll_min_24", "y_roll_max_24", "y_roll_mean_168",
@@ -114,6 +114,7 @@ def p4_direct_fit(spark, sf_dir):
     g, split, f, sup = supervised_frame(spark, sf_dir)
     train = FE.train_mask(sup.join(split.select("series_id", "test_start"), "series_id"), F.col("test_start"),
                           MODEL_FEATURES)
+    train = materialize(train)
     models = MD.fit_direct(train, HORIZONS, MODEL_FEATURES, "gbt", GBT_PARAMS)
     fc = MD.predict_direct(models, train)
     sc = fc.join(train.select("series_id", F.col("ts").alias("origin"), F.col("horizon").alias("horizon_step"),

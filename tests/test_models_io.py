@@ -217,3 +217,13 @@ def test_run_log_appends_and_versions_mark_latest(spark):
     S.register_version(spark, reg, "m", "/b")
     latest = [r for r in S.versions(spark, reg).collect() if r["is_latest"]]
     assert [(r["version"], r["path"]) for r in latest] == [(2, "/b")]
+
+
+def test_batch_forecast_has_24_steps_an_origin(spark, monkeypatch):
+    from horizonkit.plans import q_models as Q
+    monkeypatch.setattr(Q, "GBT_PARAMS", {"maxIter": 1, "maxDepth": 1, "seed": 42})
+    rows = Q.i4_batch_forecast(spark, "/root/testdata/sf0.01").collect()
+    steps = {}
+    for r in rows:
+        steps.setdefault((r["series_id"], r["origin"]), []).append(r["horizon_step"])
+    assert steps and all(sorted(x) == list(range(1, 25)) for x in steps.values())
