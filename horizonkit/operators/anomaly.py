@@ -7,7 +7,7 @@ from typing import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,8 +136,9 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], contamination: float =
                      name: str = "iforest_flag") -> DataFrame:
     """A4: isolation forest on complete rows of ``cols`` (already scaled, F13).
 
-    * one seeded Bernoulli sample of about ``n_trees × sample_size`` rows,
-      split into trees by ``pmod(xxhash64(ts, seed), n_trees)``;
+    * per tree the ``sample_size`` rows with the lowest hash of (keys, ts, tree):
+      the same rows whatever the input's size, order and partitions; hashes over
+      ``1.75 × sample_size + 64`` expected rows are dropped before the ranking;
     * each tree is grown in ``groupBy(tree_id).applyInPandas`` (≤ a few
       hundred rows per group);
     * the forest (n_trees small JSON strings, size bounded by
@@ -153,29 +154,21 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], contamination: float =
     if total == 0:
         return df.withColumn("iforest_score", F.lit(None).cast("double")).withColumn(name, F.lit(False))
     limit = int(np.ceil(np.log2(max(sample_size, 2))))
-    p = min(1.0, sample_size / total)  # per-tree inclusion probability
-    rid = F.xxhash64(*[F.col(k) for k in keys], F.col(ts), F.lit(seed))
-    if n_trees * p <= 1.0:
-        # large input: one Bernoulli sample, each sampled row feeds one tree
-        # (rows in two trees would have probability ~ (n_trees·p)² / 2)
-        samp = (complete.sample(False, min(1.0, n_trees * p * 1.05), seed)
-                        .withColumn("tree_id", F.pmod(rid, F.lit(n_trees)).cast("int")))
-    else:
-        # small input (< n_trees × sample_size rows): independent membership
-        # per (row, tree); the expansion is bounded by n_trees × sample_size rows
-        u = (F.pmod(F.xxhash64(rid, F.col("tree_id")), F.lit(1_000_003)) / F.lit(1_000_003.0))
-        samp = (complete.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-                        .where(u < p))
-    samp = samp.select("tree_id", *cols)
+    u = lambda t: F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys], F.col(ts), F.lit(seed), t), 11) / F.lit(2.0 ** 53)
+    most = min(1.0, (1.75 * sample_size + 64) / total)
+    trees_of = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) <= most)
+    rank = F.row_number().over(Window.partitionBy("tree_id").orderBy(u(F.col("tree_id")), *keys, ts, *cols))
+    samp = (complete.withColumn("tree_id", F.explode(trees_of)).withColumn("_rank", rank)
+            .where(F.col("_rank") <= sample_size).select("tree_id", *cols))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tid = int(pdf["tree_id"].iloc[0])
-        X = pdf[cols].to_numpy(dtype="float64")[:sample_size]
+        X = pdf[cols].to_numpy(dtype="float64")
         rng = np.random.default_rng(seed * 100003 + tid)
         return pd.DataFrame({"tree_id": [tid], "n": [len(X)], "tree": [json.dumps(_grow(X, rng, 0, limit))]})
 
     trees = samp.groupBy("tree_id").applyInPandas(grow, "tree_id int, n int, tree string").collect()
-    forest = [(json.loads(r["tree"]), r["n"]) for r in trees]
+    forest = [(json.loads(r["tree"]), r["n"]) for r in sorted(trees, key=lambda r: r["tree_id"])]
     bc = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf(T.DoubleType())

@@ -101,3 +101,18 @@ def test_constant_series_has_undefined_acf_not_an_error(spark):
     assert all(r["acf"] is None for r in a)
     lb = S.ljung_box(S.acf(daily(spark, [1.0, 2.0, 3.0]), "y", 5), (5,)).collect()
     assert len(lb) == 1
+
+
+def test_forest_flags_do_not_depend_on_partitions(spark):
+    import datetime as dt
+    import random
+    from horizonkit.operators import anomaly as AN
+    r = random.Random(1)
+    rows = [("s", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), r.gauss(0, 1), r.gauss(0, 1)) for i in range(3000)]
+    for n_trees in (20, 60):  # fewer and more than rows / sample size
+        got = []
+        for parts in (1, 7):
+            r.shuffle(rows)
+            df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, a double, b double").repartition(parts)
+            got.append({(x.ts, x.iforest_score) for x in AN.isolation_forest(df, ["a", "b"], n_trees=n_trees, sample_size=64).where("iforest_flag").collect()})
+        assert len(got[0]) > 30 and {t for t, _ in got[0]} == {t for t, _ in got[1]}
