@@ -135,6 +135,33 @@ FROM prefix x LEFT JOIN done c ON c.pair_id = x.pair_id AND c.side = 'c' LEFT JO
 """
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one document of ten, chosen by hash, the words from some place on
+    repeat with some period; the others as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.coalesce(h % 10 == 0, F.lit(False)).alias("chosen"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("w", F.when(F.col("chosen"), F.array_remove(F.split("text", r"[ \x09-\x0D]+"), "")))
+    rows = rows.withColumn("n", F.size("w").cast("bigint")).withColumn("chosen", F.col("chosen") & (F.coalesce("n", F.lit(0)) > 0))
+    rows = rows.withColumn("a", F.when(F.col("chosen"), F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", F.when(F.col("chosen"), 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    words = F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), again), F.lit(1), F.col("n").cast("int"))
+    return rows.select("doc_id", F.when(F.col("chosen"), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import periodic_runs
+    found = periodic_runs(planted_runs(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    out = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("b"),
+                       F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", (-F.col("b.start")).alias("start"), F.col("b.length").alias("length"), (-F.col("b.period")).alias("period"),
+                      F.floor(1000 * F.col("b.length") / -F.col("b.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
