@@ -162,6 +162,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.floor(1000 * F.col("b.length") / -F.col("b.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import hard_negatives
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
