@@ -245,12 +245,9 @@ def hard_negatives(vectors: DataFrame, anchors: Column, k: int = 10, positives:
     chosen = stored(found.select("anchor_id", (F.col("place") - 1).cast("int").alias("window"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")),
                     "negatives-positives")
     windows = chosen.groupBy("anchor_id").agg(F.sort_array(F.collect_list(F.struct("window", "positive_score"))).alias("w"))  # ``positives`` entries
-    def hundredth(score: str) -> str:  # floor(score / 100) in whole numbers
-        return f"({score} - pmod({score}, 100)) div 100"
-
     far = asked.join(windows.withColumnRenamed("anchor_id", "id"), "id").select(
-        "id", "label", "v", F.expr(f"transform(w, x -> -({hundredth(f'(-{least} * x.positive_score)')}))").alias("low"),
-        F.expr(f"transform(w, x -> {hundredth(f'({most} * x.positive_score)')})").alias("high"))
+        "id", "label", "v", F.expr(f"transform(w, x -> cast(ceil(cast(x.positive_score as decimal(20, 0)) * {least} / 100) as bigint))").alias("low"),
+        F.expr(f"transform(w, x -> cast(floor(cast(x.positive_score as decimal(20, 0)) * {most} / 100) as bigint))").alias("high"))
     far = far.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "*")
     each = Window.partitionBy("anchor_id", "window").orderBy(F.desc("score"), "id")
     hits = _searched(dealt, far, shards, False, k).withColumn("rank", F.row_number().over(each)).where(F.col("rank") <= k)
