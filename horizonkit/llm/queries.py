@@ -162,6 +162,64 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.floor(1000 * F.col("b.length") / -F.col("b.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+@query
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import judge
+    found = judge(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+                        (~failed & F.col("good")).alias("kept"), "votes", (F.floor(F.col("posterior") * 1e6 + 0.618) / 1e6).alias("posterior"))
+
+
+def _rules_sql() -> str:
+    """The same counts and votes, and each round of expectation-maximisation as a step."""
+    from . import quality_rules as q
+    rules = range(len(q.RULES))
+    signs = " || ".join(f"CASE WHEN {bad} THEN '-' WHEN {good} THEN '+' ELSE '0' END" for bad, good in q.RULES.values())
+    odds = "ln(share / (1 - share)) + " + " + ".join(
+        f"CASE substr(votes, {r + 1}, 1) WHEN '+' THEN ln(g{r} / b{r}) WHEN '-' THEN ln((1 - g{r}) / (1 - b{r})) ELSE 0 END" for r in rules)
+    posterior = f"1 / (1 + exp(-greatest(-500.0, least(500.0, {odds}))))"
+    steps = [f"e0 AS (SELECT CAST({q.SHARE} AS DOUBLE) AS share, " + ", ".join(f"CAST({q.GOOD_IF_GOOD} AS DOUBLE) AS g{r}, CAST({q.GOOD_IF_BAD} AS DOUBLE) AS b{r}" for r in rules) + ")"]
+
+    def rate(weight: str, r: int, start: float, name: str) -> str:
+        vote = f"substr(votes, {r + 1}, 1)"
+        return (f"(coalesce(sum({weight}) FILTER ({vote} = '+'), 0) + {q.STRENGTH * start}::DOUBLE)"
+                f" / (coalesce(sum({weight}) FILTER ({vote} <> '0'), 0) + {q.STRENGTH}::DOUBLE) AS {name}{r}")
+
+    for k in range(q.ROUNDS):
+        rates = ", ".join(rate("n * p", r, q.GOOD_IF_GOOD, "g") + ", " + rate("n * (1 - p)", r, q.GOOD_IF_BAD, "b") for r in rules)
+        steps.append(f"e{k + 1} AS MATERIALIZED (SELECT (coalesce(sum(n * p), 0) + {q.STRENGTH * q.SHARE}::DOUBLE) / (coalesce(sum(n), 0) + {q.STRENGTH}::DOUBLE) AS share, "
+                     f"{rates} FROM (SELECT votes, n, {posterior} AS p FROM patterns, e{k}))")
+    return rf"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, [x for x in regexp_split_to_array(t, '{q.SPACE}') if x <> ''] AS words,
+             [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^ \x09-\x0D]')] AS lines FROM t),
+windows AS (SELECT rid, i, array_to_string(words[i:i + {q.WINDOW - 1}], ' ') AS s
+            FROM (SELECT rid, words, unnest(range(1, len(words) - {q.WINDOW - 2})) AS i FROM w WHERE len(words) >= {q.WINDOW})),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS c FROM windows) WHERE c > 1),
+again AS (SELECT rid, sum(least({q.WINDOW}, coalesce(next - i, {q.WINDOW}))) AS n
+          FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS next FROM twice) GROUP BY rid),
+m AS (SELECT rid, doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '{q.SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        length(regexp_replace(t, '\P{{L}}+', '', 'g')) AS n_letters, length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) AS n_capitals,
+        len([x for x in words if NOT regexp_matches(x, '[\p{{L}}\p{{Nd}}]')]) AS n_bare,
+        len([x for x in words if regexp_matches(x, '[.!?]')]) AS n_stops, len(list_distinct(words)) AS n_distinct,
+        CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN again USING (rid)),
+v AS MATERIALIZED (SELECT *, {signs} AS votes FROM m),
+patterns AS MATERIALIZED (SELECT votes, count(*) AS n FROM v GROUP BY votes),
+{", ".join(steps)},
+judged AS (SELECT votes, {posterior} AS posterior FROM patterns, e{q.ROUNDS})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND posterior >= 0.5 AS kept, votes, floor(posterior * 1e6 + 0.618) / 1e6 AS posterior
+FROM v JOIN judged USING (votes)
+"""
+
+
+SQL["op12_quality_rules"] = _rules_sql()
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .hard_negatives import hard_negatives
