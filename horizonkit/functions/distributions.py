@@ -57,6 +57,10 @@ def betainc(a: float, b: float, x: float) -> float:
     return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
 
 
+def normal_cdf(x: float) -> float:
+    return 0.5 * math.erfc(-x / math.sqrt(2.0))
+
+
 def t_two_sided_p(t: float, dof: float) -> float:
     """P(|T| >= |t|) for Student-t with ``dof`` degrees of freedom."""
     if t is None or dof is None or not math.isfinite(t) or dof <= 0:

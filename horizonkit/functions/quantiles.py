@@ -3,15 +3,16 @@
 ``percentile`` (and ``median``) keep every distinct value of a group in one
 aggregation buffer; a series holding a third of all rows would not fit. Here:
 
-1. one aggregation per group: ``n`` and approximate quantiles at ``q ± 2/acc``
-   (rank error ≤ n/acc), bracketing the exact order statistics;
-2. one pass counting rows strictly below each bracket;
-3. only rows inside a bracket (about 4n/acc per quantile) are ranked, and the
-   values at ranks ``floor(q(n-1))`` and ``ceil(q(n-1))`` are interpolated —
-   the same definition as ``percentile``.
+1. one partial aggregation counts each distinct value of each group, so tied
+   values cost one row from there on;
+2. approximate splitters (of the distinct values) part a group's values into
+   ``PARTS`` ranges, whose exact counts give each range its first rank;
+3. only the range that holds a wanted rank is put in order, and the values at
+   ranks ``floor(q(n-1))`` and ``ceil(q(n-1))`` are interpolated — the same
+   definition as ``percentile``.
 
-Groups whose bracket misses a needed rank (not expected, but checked) are
-recomputed with the exact aggregate, so the result is always exact.
+The splitters only balance the work: counts are exact, so the result is exact
+for any of them, and there is no second way to fall back on.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges a group's distinct values are parted into.
+PARTS = 256
+
 
 def _name(q: float) -> str:
     return f"q{round(q * 1000):04d}"
@@ -28,46 +32,34 @@ def _name(q: float) -> str:
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: Sequence[float], accuracy: int = 10_000,
                     names: Sequence[str] | None = None) -> DataFrame:
-    """``keys..., <name per q>`` with exact linear quantiles of non-null ``col``."""
+    """``keys..., <name per q>`` with exact linear quantiles of non-null ``col``.
+    ``accuracy`` is that of the splitters."""
     keys = list(keys)
     if not keys:  # one global group: a constant key keeps every step a keyed join
         return exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], col, qs, accuracy, names).drop("_all")
     names = list(names) if names else [_name(q) for q in qs]
-    eps = 2.0 / accuracy
-    probs = []
-    for q in qs:
-        probs += [max(0.0, q - eps), min(1.0, q + eps)]
-    d = df.select(*keys, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    st = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                              F.percentile_approx("_v", F.array(*[F.lit(p) for p in probs]), accuracy).alias("_b"))
-    x = d.join(st, keys)
-    lo = [F.element_at("_b", 2 * i + 1) for i in range(len(qs))]
-    hi = [F.element_at("_b", 2 * i + 2) for i in range(len(qs))]
-    below = x.groupBy(*keys).agg(*[F.count_if(F.col("_v") < lo[i]).alias(f"_below{i}") for i in range(len(qs))])
-    idx = F.filter(F.sequence(F.lit(0), F.lit(len(qs) - 1)),
-                   lambda i: (F.col("_v") >= F.element_at("_b", 2 * i + 1)) & (F.col("_v") <= F.element_at("_b", 2 * i + 2)))
-    band = x.select(*keys, "_v", "_n", F.explode(idx).alias("_qi"))
-    band = band.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_qi").orderBy("_v")))
-    band = band.join(below, keys)
-    below_i = F.element_at(F.array(*[F.col(f"_below{i}") for i in range(len(qs))]), F.col("_qi") + 1)
-    qarr = F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("_qi") + 1)
-    k = qarr * (F.col("_n") - 1)
-    rank = below_i + F.col("_rn") - 1
-    picked = band.where((rank == F.floor(k)) | (rank == F.ceil(k)))
-    per_q = picked.groupBy(*keys, "_qi", "_n").agg(
-        F.max(F.when(rank == F.floor(k), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(rank == F.ceil(k), F.col("_v"))).alias("_vhi"),
-        F.first(k).alias("_k"))
-    val = F.col("_vlo") + (F.col("_k") - F.floor("_k")) * (F.col("_vhi") - F.col("_vlo"))
-    per_q = per_q.select(*keys, "_qi", val.alias("_val"))
-    wide = per_q.groupBy(*keys).agg(*[F.max(F.when(F.col("_qi") == i, F.col("_val"))).alias(names[i])
-                                      for i in range(len(qs))])
-    # exact fallback for groups whose bracket missed a rank (value still null)
-    full = st.select(*keys).join(wide, keys, "left")
-    missing = full.where(F.greatest(*[F.col(n).isNull().cast("int") for n in names]) == 1) if len(names) > 1 \
-        else full.where(F.col(names[0]).isNull())
-    fb = d.join(missing.select(*keys), keys, "left_semi").groupBy(*keys).agg(
-        *[F.percentile("_v", q).alias(n) for q, n in zip(qs, names)])
-    ok = full.where(F.greatest(*[F.col(n).isNull().cast("int") for n in names]) == 0) if len(names) > 1 \
-        else full.where(F.col(names[0]).isNotNull())
-    return ok.unionByName(fb)
+    counted = (df.select(*keys, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+               .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    splits = counted.groupBy(*keys).agg(
+        F.percentile_approx("_v", F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)]), accuracy).alias("_s"))
+    part = F.size(F.filter("_s", lambda s: s < F.col("_v")))
+    placed = counted.join(splits, keys).select(*keys, "_v", "_c", part.alias("_p"))
+    # one row per range: rows before it in the group (at most PARTS rows a group)
+    totals = placed.groupBy(*keys, "_p").agg(F.sum("_c").alias("_t"))
+    up_to = Window.partitionBy(*keys).orderBy("_p")
+    totals = totals.select(*keys, "_p", "_t", F.sum("_t").over(up_to).alias("_end"), F.sum("_t").over(Window.partitionBy(*keys)).alias("_n"))
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), r.alias("r")) for i, q in enumerate(qs)
+                      for k in [F.lit(float(q)) * (F.col("_n") - 1)] for r in (F.floor(k), F.ceil(k))])
+    wanted = totals.select(*keys, "_p", "_n", (F.col("_end") - F.col("_t")).alias("_before"), "_end", ranks.alias("_r"))
+    wanted = wanted.withColumn("_r", F.array_distinct(F.filter("_r", lambda x: (x["r"] >= F.col("_before")) & (x["r"] < F.col("_end")))))
+    wanted = wanted.where(F.size("_r") > 0).drop("_end")
+    inside = placed.join(wanted, [*keys, "_p"])
+    inside = inside.withColumn("_last", F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_p").orderBy("_v")) - 1)
+    hits = F.filter("_r", lambda x: (x["r"] <= F.col("_last")) & (x["r"] > F.col("_last") - F.col("_c")))
+    found = inside.select(*keys, "_n", "_v", F.inline(hits))
+    out = []
+    for i, (q, name) in enumerate(zip(qs, names)):
+        k = F.lit(float(q)) * (F.col("_n") - 1)
+        low, high = (F.max(F.when((F.col("i") == i) & (F.col("r") == r), F.col("_v"))) for r in (F.floor(k), F.ceil(k)))
+        out.append((low + (k - F.floor(k)) * (high - low)).alias(name))
+    return found.groupBy(*keys, "_n").agg(*out).drop("_n")

@@ -15,6 +15,7 @@ from ..functions.exprs import all_not_null
 from ..functions.timecols import day_of
 from .halo import windowed
 from .stats import decompose
+from .stl import stl
 
 
 def zscore(df: DataFrame, col: str = "y", threshold: float = 3.0, keys=("series_id",), name: str = "zscore_flag",
@@ -30,10 +31,10 @@ def zscore(df: DataFrame, col: str = "y", threshold: float = 3.0, keys=("series_
 
 
 def residual_zscore(filled: DataFrame, col: str = "y", period: int = 7, threshold: float = 3.0, keys=("series_id",),
-                    ts="ts", step="day", name: str = "resid_flag", **kw) -> DataFrame:
+                    ts="ts", step="day", name: str = "resid_flag", method: str = "classical", **kw) -> DataFrame:
     """A2: z-score of the decomposition residual (period ``period``) on an
-    interpolated series."""
-    d = decompose(filled, col, period, keys, ts, step, **kw)
+    interpolated series; ``method`` is ``classical`` or ``stl`` (robust)."""
+    d = {"classical": decompose, "stl": stl}[method](filled, col, period, keys, ts, step, **kw)
     return zscore(d, "resid", threshold, keys, name)
 
 

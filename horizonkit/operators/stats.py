@@ -1,4 +1,4 @@
-"""Exploratory time-series statistics.
+"""Exploratory time-series statistics.
 
 Whole-series quantities (means, sums of lagged products) are partial
 aggregates joined back by series key; bounded lags and moving averages use
@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distributions import chi2_pvalue_udf
-from ..functions.exprs import all_not_null
 from ..functions.timecols import steps_between
 from .grid import series_bounds
 from .halo import windowed
@@ -127,106 +126,3 @@ def pacf(acf_df: DataFrame, keys=("series_id",)) -> DataFrame:
 
     schema = ", ".join(f"{k} string" for k in keys) + ", lag int, pacf double"
     return acf_df.select(*keys, "lag", "acf").groupBy(*keys).applyInPandas(ld, schema)
-
-
-# ---------------------------------------------------------------- E5
-# Asymptotic critical values (constant-only model).
-ADF_CRIT = {"1%": -3.43, "5%": -2.86, "10%": -2.57}
-KPSS_CRIT = [(0.10, 0.347), (0.05, 0.463), (0.025, 0.574), (0.01, 0.739)]
-
-
-def stationarity(df: DataFrame, col: str = "y", keys=("series_id",), ts="ts", step="day", adf_lags: int | None = None,
-                 bucket_steps=None, bucketed=True) -> DataFrame:
-    """E5: ADF and KPSS statistics with verdicts.
-
-    ADF regresses Δy_t on (1, y_{t-1}, Δy_{t-1..p}); the normal equations
-    are summed in one Spark aggregation (sums of products) and solved per
-    series on the small moment table. KPSS (level) uses cumulative sums of
-    deviations via the two-phase carry-free running sum and a Bartlett
-    long-run variance. Nulls are dropped first.
-    """
-    keys = list(keys)
-    d = df.where(F.col(col).isNotNull())
-    n_series = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    p = adf_lags if adf_lags is not None else 4
-    regs = ["_one", "_ylag"] + [f"_dl{i}" for i in range(1, p + 1)]
-
-    def mk(w):
-        y, y1 = F.col(col), F.lag(col, 1).over(w)
-        out = [(y - y1).alias("_dy"), y1.alias("_ylag")]
-        for i in range(1, p + 1):
-            out.append((F.lag(col, i).over(w) - F.lag(col, i + 1).over(w)).alias(f"_dl{i}"))
-        return out
-
-    x = windowed(d, keys, ts, step, p + 1, 0, mk, bucket_steps, bucketed).withColumn("_one", F.lit(1.0))
-    x = x.where(all_not_null(regs + ["_dy"]))
-    sums = [F.sum(F.col(a) * F.col(b)).alias(f"_xx_{i}_{j}") for i, a in enumerate(regs) for j, b in enumerate(regs)
-            if j >= i]
-    sums += [F.sum(F.col(a) * F.col("_dy")).alias(f"_xy_{i}") for i, a in enumerate(regs)]
-    sums += [F.sum(F.col("_dy") * F.col("_dy")).alias("_yy"), F.count(F.lit(1)).alias("_m")]
-    mom = x.groupBy(*keys).agg(*sums)
-
-    # KPSS level: e_t = y_t - ȳ, S_t = running sum, stat = Σ S_t² / (n² σ²_lr)
-    mean = d.groupBy(*keys).agg(F.avg(col).alias("_mu"))
-    e = d.join(mean, keys).withColumn("_e", F.col(col) - F.col("_mu"))
-    lag_bw = 12
-    e2 = windowed(e, keys, ts, step, lag_bw, 0,
-                  lambda w: [(F.col("_e") * F.lag("_e", k).over(w)).alias(f"_g{k}") for k in range(1, lag_bw + 1)],
-                  bucket_steps, bucketed)
-    cs = running_sum(e2, "_e", keys, ts, step)
-    kp = cs.groupBy(*keys).agg(F.sum(F.col("_cum") * F.col("_cum")).alias("_ss"),
-                               F.sum(F.col("_e") * F.col("_e")).alias("_g0"),
-                               *[F.sum(f"_g{k}").alias(f"_g{k}") for k in range(1, lag_bw + 1)])
-    k = len(regs)
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, r in pdf.iterrows():
-            A = np.zeros((k, k))
-            for i in range(k):
-                for j in range(i, k):
-                    A[i, j] = A[j, i] = r[f"_xx_{i}_{j}"]
-            b = np.array([r[f"_xy_{i}"] for i in range(k)])
-            m = r["_m"]
-            try:
-                beta = np.linalg.solve(A, b)
-                rss = r["_yy"] - 2 * beta @ b + beta @ A @ beta
-                s2 = rss / (m - k)
-                se = np.sqrt(s2 * np.linalg.inv(A)[1, 1])
-                adf = beta[1] / se
-            except np.linalg.LinAlgError:
-                adf = np.nan
-            n = r["_n"]
-            lrv = r["_g0"] / n + sum(2 * (1 - q / (lag_bw + 1)) * r[f"_g{q}"] / n for q in range(1, lag_bw + 1))
-            kpss = r["_ss"] / (n * n * lrv) if lrv and lrv > 0 else np.nan
-            crit_x = [c for _, c in KPSS_CRIT]
-            crit_p = [pv for pv, _ in KPSS_CRIT]
-            kp_p = float(np.interp(kpss, crit_x, crit_p)) if np.isfinite(kpss) else np.nan
-            out.append({**{kk: r[kk] for kk in keys}, "adf_stat": float(adf), "adf_lags": p,
-                        "adf_stationary": bool(np.isfinite(adf) and adf < ADF_CRIT["5%"]),
-                        "kpss_stat": float(kpss), "kpss_pvalue": kp_p,
-                        "kpss_stationary": bool(np.isfinite(kp_p) and kp_p > 0.05), "n": int(n)})
-        return pd.DataFrame(out, columns=[*keys, "adf_stat", "adf_lags", "adf_stationary", "kpss_stat",
-                                          "kpss_pvalue", "kpss_stationary", "n"])
-
-    tbl = mom.join(kp, keys).join(n_series, keys)
-    schema = ", ".join(f"{kk} string" for kk in keys) + (", adf_stat double, adf_lags int, adf_stationary boolean, "
-                                                          "kpss_stat double, kpss_pvalue double, "
-                                                          "kpss_stationary boolean, n long")
-    return tbl.groupBy(*keys).applyInPandas(solve, schema)
-
-
-def running_sum(df: DataFrame, col: str, keys=("series_id",), ts="ts", step="day", bucket_steps: int = 8192) -> DataFrame:
-    """Cumulative sum per series in two phases (per bucket, then a carried
-    offset from the small bucket table) → column ``_cum``."""
-    from pyspark.sql import Window
-    from ..functions.timecols import epoch_seconds, step_seconds
-    keys = list(keys)
-    width = bucket_steps * step_seconds(step)
-    x = df.withColumn("_b", F.floor(epoch_seconds(ts) / F.lit(width)))
-    w = Window.partitionBy(*keys, "_b").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("_cin", F.sum(col).over(w))
-    tot = x.groupBy(*keys, "_b").agg(F.sum(col).alias("_bt"))
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(wb), F.lit(0.0))).drop("_bt")
-    return x.join(tot, [*keys, "_b"]).withColumn("_cum", F.col("_cin") + F.col("_off")).drop("_b", "_cin", "_off")

@@ -9,6 +9,8 @@ from ..operators import features as FE
 from ..operators import grid as G
 from ..operators import profile as P
 from ..operators import stats as S
+from ..operators import stl as ST
+from ..operators import unit_root as U
 from ..sources import tables as T
 from . import oracle as O
 from .q_prep import DAILY_INTERP, holiday_cte
@@ -47,6 +49,20 @@ def e1_decompose(spark, sf_dir):
     return out(decomposed(spark, sf_dir))
 
 
+def stl_daily(spark, sf_dir, period):
+    return ST.stl(filled_daily(spark, sf_dir), "y", period)
+
+
+@register("e1_stl")
+def e1_stl(spark, sf_dir):
+    return out(stl_daily(spark, sf_dir, 7))
+
+
+@register("e1_stl_yearly")
+def e1_stl_yearly(spark, sf_dir):
+    return out(stl_daily(spark, sf_dir, 365))
+
+
 def acf_sql(src: str, col: str, nlags: int) -> str:
     return f"""c AS (SELECT series_id, {col} - avg({col}) OVER (PARTITION BY series_id) AS d,
         row_number() OVER ({PW}) AS pos FROM {src}),
@@ -78,7 +94,25 @@ def e4_difference(spark, sf_dir):
 
 @register("e5_stationarity")
 def e5_stationarity(spark, sf_dir):
-    return out(S.stationarity(filled_daily(spark, sf_dir), "y"))
+    return out(U.stationarity(T.daily_grid(spark, sf_dir), "y"))
+
+
+@register("e5_kpss", f"""WITH {O.DAILY},
+o AS (SELECT series_id, row_number() OVER ({PW}) - 1 AS pos, count(*) OVER (PARTITION BY series_id) AS n,
+        y - avg(y) OVER (PARTITION BY series_id) AS e FROM daily WHERE y IS NOT NULL),
+r AS (SELECT series_id, n, sum(e) OVER (PARTITION BY series_id ORDER BY pos) AS run FROM o),
+eta AS (SELECT series_id, n, sum(run * run) AS ss FROM r GROUP BY 1, 2),
+acv AS (SELECT a.series_id, a.n, a.pos - b.pos AS k, sum(a.e * b.e) AS v FROM o a JOIN o b
+          ON a.series_id = b.series_id AND b.pos <= a.pos AND b.pos >= a.pos - 100 GROUP BY 1, 2, 3),
+s AS (SELECT series_id, n, sum(CASE WHEN k = 0 THEN v / n ELSE 2 * v / n END) AS s0, sum(2 * k * v / n) AS s1
+      FROM acv WHERE k <= floor(pow(n, 2.0 / 9.0)) GROUP BY 1, 2),
+l AS (SELECT series_id, n, CAST(least(floor(1.1447 * pow(pow(s1 / s0, 2), 1.0 / 3.0) * pow(n, 1.0 / 3.0)), n - 1) AS INTEGER) AS lags FROM s),
+lr AS (SELECT l.series_id, l.lags, sum(CASE WHEN k = 0 THEN v ELSE 2 * v * (1 - k / (lags + 1.0::DOUBLE)) END) AS s
+       FROM acv JOIN l ON acv.series_id = l.series_id WHERE k <= lags GROUP BY 1, 2)
+SELECT lr.series_id, eta.n, round(eta.ss / (eta.n * lr.s), {R}) AS kpss_stat, lr.lags AS kpss_lags
+FROM eta JOIN lr ON eta.series_id = lr.series_id""")
+def e5_kpss(spark, sf_dir):
+    return out(U.stationarity(T.daily_grid(spark, sf_dir), "y").select("series_id", "n", "kpss_stat", "kpss_lags"))
 
 
 @register("e6_ljung_box", f"""WITH {DECOMP_SQL}, {acf_sql("dec", "resid", 48)},
@@ -137,6 +171,11 @@ def a2_resid_zscore(spark, sf_dir):
     return out(A.residual_zscore(filled_daily(spark, sf_dir)).select("series_id", "ts", "resid", "z", "resid_flag"))
 
 
+@register("a2_stl_zscore")
+def a2_stl_zscore(spark, sf_dir):
+    return out(A.residual_zscore(filled_daily(spark, sf_dir), method="stl").select("series_id", "ts", "resid", "z", "resid_flag"))
+
+
 @register("a3_rolling_iqr", f"""WITH {O.DAILY}, {IQR_SQL}
 SELECT series_id, ts, round(y, {R}) AS y, round(q1, {R}) AS q1, round(q3, {R}) AS q3,
   coalesce(y < q1 - 1.5 * (q3 - q1) OR y > q3 + 1.5 * (q3 - q1), false) AS iqr_flag FROM iq""")
