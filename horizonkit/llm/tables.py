@@ -16,6 +16,7 @@ from ..session import scratch_path, ship_package
 #: A table of at most this many (narrow) rows may be broadcast; beyond it the
 #: callers use a shuffle join that gives the same rows.
 BROADCAST_ROWS = 500_000
+SLICE_BYTES = 4 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -39,6 +40,12 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows of about SLICE_BYTES, as Python objects take several times that."""
+    rows = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes)))
+    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
 def map_stream(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` with plain column lists: ``fn`` gets {column: list} of each Arrow
     batch of a partition, in order, and yields {column: values} for ``schema``."""
@@ -46,7 +53,7 @@ def map_stream(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sc
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches_in):
-        plain = ({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)} for b in batches_in if b.num_rows)
+        plain = ({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)} for whole in batches_in for b in _slices(whole))
         for cols in fn(plain):
             yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in out], schema=out)
 

@@ -2,19 +2,20 @@
 hashes and lines of many texts at once, as numpy arrays.
 
 A batch of texts is joined into one byte array (UTF-8) with a line feed after
-each text. Word hashes are differences of one running polynomial sum modulo
-2**64, so a batch costs a fixed number of array passes and no loop over words.
+each text. Span hashes mix eight bytes at a time, all spans of a batch in one array
+pass, and long spans have a cryptographic hash: no structure in the text (as that
+of Thue-Morse words for polynomials modulo 2**64) makes two hashes equal.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 _MIX1, _MIX2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 BATCH_BYTES = 1 << 20
 
@@ -38,17 +39,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=U64) * U64(_BASE))
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
-
-
-def _power(kind: str, n: int) -> np.ndarray:
-    have = _powers[kind]
-    if len(have) < n:
-        step = np.full(max(n, 1 << 16), U64(_BASE if kind == "up" else _BASE_INV))
-        step[0] = 1
-        have = _powers[kind] = np.cumprod(step, dtype=U64)
-    return have[:n]
+#: Spans of more bytes than this are hashed one by one.
+_LONG = 256
+_KEEP = np.array([0xFFFFFFFFFFFFFFFF >> 8 * (8 - n) if n else 0 for n in range(9)], U64)
 
 
 @dataclass
@@ -78,10 +71,20 @@ def join_texts(texts: list) -> tuple[np.ndarray, np.ndarray]:
 
 def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of every span data[start:end]; equal bytes give equal hashes."""
-    run = np.empty(len(data) + 1, U64)
-    run[0] = 0
-    np.cumsum(_BYTE_VALUE[data] * _power("up", len(data)), out=run[1:])
-    return mix((run[end] - run[start]) * _power("down", len(data) + 1)[start] + (end - start).astype(U64))
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    h = mix(size.astype(U64) + U64(_BASE))
+    todo = np.flatnonzero((size > 0) & (size <= _LONG))
+    at, left = start[todo], size[todo]
+    while len(todo):
+        block = eight[at] & _KEEP[np.minimum(left, 8)]
+        h[todo] = mix((h[todo] ^ block) * U64(_BASE) + _MIX1)
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size > _LONG).tolist():
+        h[k] = int.from_bytes(blake2b(data[start[k]:end[k]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def words(texts: list, lower: bool = True, space: np.ndarray = _IS_SPACE) -> Words:

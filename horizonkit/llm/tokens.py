@@ -24,7 +24,7 @@ from .text_arrays import U64, batches, hash_spans, text_sizes, words
 BATCH_CHARS = 2 << 20
 #: Parts (about 200 bytes each), spans (20 bytes) and span ids kept per worker; a full
 #: cache starts anew. Longer parts are not kept.
-CACHE_PARTS, CACHE_SPANS, CACHE_IDS, PART_CHARS = 400_000, 2_000_000, 12_000_000, 40
+CACHE_PARTS, CACHE_SPANS, CACHE_IDS, PART_CHARS = 200_000, 1_000_000, 5_000_000, 40
 
 # fixed values: the tokenizers' patterns, with the classes written out for _COMMON
 _COMMON = re.compile("[\x00-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")

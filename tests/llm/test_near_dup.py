@@ -98,3 +98,10 @@ def test_components_of_random_edges(spark, seed):
     got = {row.id: row.component for row in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
+
+
+def test_structured_words_stay_apart(docs_of):
+    """Texts of one Thue-Morse word and its complement share no shingle."""
+    t = "".join("ab"[k.bit_count() % 2] for k in range(2048))
+    rows = [(1, t), (2, t.translate(str.maketrans("ab", "ba"))), (3, t)]
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs_of(rows)).collect()} == {1: 1, 2: 2, 3: 1}
