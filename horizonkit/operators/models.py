@@ -160,18 +160,6 @@ def ar_backtest(df: DataFrame, fit: DataFrame, origins: DataFrame, horizon: int,
             .select(*keys, "origin", (F.col("_i") + 1).cast("int").alias("horizon_step"), "method", "forecast")
 
 
-def search_ar(df: DataFrame, grid: Sequence[tuple[int, int]], m: int = 24, **kw) -> DataFrame:
-    """Fit each candidate (p, P) and keep the minimum-AIC order per series."""
-    keys = list(kw.get("keys", ("series_id",)))
-    parts = [fit_ar(df, p, P, m, **kw).withColumn("ar_order", F.lit(p)).withColumn("seasonal_ar_order", F.lit(P))
-             for p, P in grid]
-    allf = parts[0]
-    for q in parts[1:]:
-        allf = allf.unionByName(q)
-    best = allf.groupBy(*keys).agg(F.min_by(F.struct("ar_order", "seasonal_ar_order", "aic"), "aic").alias("_b"))
-    return best.select(*keys, "_b.ar_order", "_b.seasonal_ar_order", "_b.aic")
-
-
 # ---------------------------------------------------------------- P3: trend + Fourier seasonality
 def fit_trend_season(train: DataFrame, col="y", keys=("series_id",), ts="ts", n_changepoints: int = 5,
                      periods: Sequence[tuple[float, int]] = ((86400.0, 4), (604800.0, 3)), ridge: float = 1.0):

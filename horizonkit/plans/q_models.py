@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import all_not_null
+from ..functions.timecols import add_steps
+from ..operators import arma as AR
 from ..operators import backtest as B
 from ..operators import features as FE
 from ..operators import inference as I
@@ -63,11 +65,23 @@ def b13_ar_backtest(spark, sf_dir):
     return out(B.attach_actuals(fc, g))
 
 
+def _arma_fit(spark, sf_dir):
+    """The whole search, p, q up to 3 and P, Q up to 2, on the last 1,440 hours of training."""
+    g, split = _split(spark, sf_dir)
+    train = g.join(split.select("series_id", "test_start"), "series_id").where(
+        (F.col("ts") < F.col("test_start")) & (F.col("ts") >= add_steps("test_start", -1440, "hour")))
+    return g, split, AR.search_arma(train.select("series_id", "ts", "y"))
+
+
 @register("p2_ar_order_search")
 def p2_ar_order_search(spark, sf_dir):
-    g, split = _split(spark, sf_dir)
-    train = g.join(split.select("series_id", "test_start"), "series_id").where(F.col("ts") < F.col("test_start"))
-    return out(MD.search_ar(train.select("series_id", "ts", "y"), [(1, 0), (2, 1), (3, 1), (3, 2)], 24))
+    return out(_arma_fit(spark, sf_dir)[2])
+
+
+@register("b13_arma_backtest")
+def b13_arma_backtest(spark, sf_dir):
+    g, split, fit = _arma_fit(spark, sf_dir)
+    return out(B.attach_actuals(AR.arma_backtest(g, materialize(fit), _origins(split), 24), g))
 
 
 # ---------------------------------------------------------------- P3, B10
@@ -316,7 +330,6 @@ SELECT fc.series_id, fc.origin, fc.horizon_step, fc.method, round(a.y, {R}) AS a
 FROM fc LEFT JOIN hourly a ON a.series_id = fc.series_id AND a.ts = fc.origin + INTERVAL 1 HOUR * fc.horizon_step""")
 def i7_attach_actuals(spark, sf_dir):
     """Forecast issued one day before the end, joined with the actuals that arrived since."""
-    from ..functions.timecols import add_steps
     g = T.hourly_grid(spark, sf_dir)
     o = g.groupBy("series_id").agg(add_steps(F.max("ts"), -24, "hour").alias("origin"))
     fc = B.lookup_forecasts(g, o, [B.tiled_profile(24)], 24)
