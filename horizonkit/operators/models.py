@@ -1,6 +1,6 @@
 """Forecast models re-aimed as Spark jobs.
 
-* Per-series linear models (seasonal AR, trend + Fourier seasonality) are fit
+* Seasonal AR models are fit
   from normal equations: one aggregation of cross-products per series
   (partial + final, any series size), then a tiny solve per series on the
   moment table (k×k numbers per series).
@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import all_not_null
-from ..functions.timecols import epoch_seconds
 from .halo import windowed
 
 
@@ -160,58 +159,6 @@ def ar_backtest(df: DataFrame, fit: DataFrame, origins: DataFrame, horizon: int,
             .select(*keys, "origin", (F.col("_i") + 1).cast("int").alias("horizon_step"), "method", "forecast")
 
 
-# ---------------------------------------------------------------- P3: trend + Fourier seasonality
-def fit_trend_season(train: DataFrame, col="y", keys=("series_id",), ts="ts", n_changepoints: int = 5,
-                     periods: Sequence[tuple[float, int]] = ((86400.0, 4), (604800.0, 3)), ridge: float = 1.0):
-    """Piecewise-linear trend (hinges at evenly spaced changepoints over the
-    training span) + Fourier terms, ridge least squares per series. Returns
-    the coefficient table and the design spec needed to forecast."""
-    keys = list(keys)
-    b = train.groupBy(*keys).agg(F.min(epoch_seconds(ts)).alias("_t0"), F.max(epoch_seconds(ts)).alias("_t1"))
-    cps = [(i + 1) / (n_changepoints + 1) for i in range(n_changepoints)]
-    x = train.join(b, keys)
-    scale = F.col("_t1") - F.col("_t0")
-    t = (epoch_seconds(ts) - F.col("_t0")) / F.greatest(scale, F.lit(1))
-    design = [t.alias("_t")] + [F.greatest(t - F.lit(c), F.lit(0.0)).alias(f"_cp{i}") for i, c in enumerate(cps)]
-    for pi, (period_s, order) in enumerate(periods):
-        for k in range(1, order + 1):
-            ang = F.lit(2 * math.pi * k) * epoch_seconds(ts) / F.lit(period_s)
-            design += [F.sin(ang).alias(f"_s{pi}_{k}"), F.cos(ang).alias(f"_c{pi}_{k}")]
-    x = x.select(*keys, ts, col, "_t0", "_t1", *design).withColumn("_one", F.lit(1.0))
-    names = ["_one"] + [c for c in x.columns if c.startswith(("_t", "_cp", "_s", "_c")) and c not in ("_t0", "_t1")]
-    fit = solve_per_series(normal_equations(x, keys, names, col), keys, len(names), ridge)
-    return fit.join(b, keys), names, cps, list(periods)
-
-
-def forecast_trend_season(fit: DataFrame, names: Sequence[str], cps, periods, future: DataFrame, keys=("series_id",),
-                          ts="ts") -> DataFrame:
-    """Continuous forecast (plus components trend / seasonal) at the timestamps of ``future``."""
-    keys = list(keys)
-    x = future.select(*keys, ts).join(fit.select(*keys, "coef", "_t0", "_t1"), keys)
-    scale = F.greatest(F.col("_t1") - F.col("_t0"), F.lit(1))
-    t = (epoch_seconds(ts) - F.col("_t0")) / scale
-    vals = {"_one": F.lit(1.0), "_t": t}
-    for i, c in enumerate(cps):
-        vals[f"_cp{i}"] = F.greatest(t - F.lit(c), F.lit(0.0))
-    for pi, (period_s, order) in enumerate(periods):
-        for k in range(1, order + 1):
-            ang = F.lit(2 * math.pi * k) * epoch_seconds(ts) / F.lit(period_s)
-            vals[f"_s{pi}_{k}"], vals[f"_c{pi}_{k}"] = F.sin(ang), F.cos(ang)
-    coef = F.col("coef")
-    trend_names = [n for n in names if n in ("_one", "_t") or n.startswith("_cp")]
-    season_names = [n for n in names if n not in trend_names]
-    trend = dot_named(coef, names, trend_names, vals)
-    season = dot_named(coef, names, season_names, vals)
-    return x.select(*keys, ts, trend.alias("trend"), season.alias("seasonal"), (trend + season).alias("forecast"))
-
-
-def dot_named(coef: Column, names: Sequence[str], use: Sequence[str], vals: dict) -> Column:
-    out = F.lit(0.0)
-    for n in use:
-        out = out + F.element_at(coef, names.index(n) + 1) * vals[n]
-    return out
-
-
 # ---------------------------------------------------------------- P4, P7, B11: direct multi-horizon trees
 CATEGORICAL = ("season",)
 

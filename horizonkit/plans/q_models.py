@@ -11,6 +11,7 @@ from ..operators import backtest as B
 from ..operators import features as FE
 from ..operators import inference as I
 from ..operators import models as MD
+from ..operators import trend as TR
 from ..sources import tables as T
 from . import oracle as O
 from .q_core import hourly_backtest
@@ -87,12 +88,12 @@ def b13_arma_backtest(spark, sf_dir):
 # ---------------------------------------------------------------- P3, B10
 @register("b10_trend_season_backtest")
 def b10_trend_season_backtest(spark, sf_dir):
-    """Trend + Fourier model fit once on the training span, one continuous
+    """Trend and seasonal model fit once on the training span, one continuous
     forecast over the grid, sliced into origin/step rows."""
     g, split = _split(spark, sf_dir)
     train = g.join(split.select("series_id", "test_start"), "series_id").where(F.col("ts") < F.col("test_start"))
-    fit, names, cps, periods = MD.fit_trend_season(train.select("series_id", "ts", "y"))
-    fc = MD.forecast_trend_season(fit, names, cps, periods, g.select("series_id", "ts"))
+    fit, design = TR.fit_trend(train.select("series_id", "ts", "y"))
+    fc = TR.forecast_trend(fit, design, g.select("series_id", "ts"))
     return out(B.from_continuous(fc, g, _origins(split), 24, "trend_season"))
 
 
@@ -100,8 +101,15 @@ def b10_trend_season_backtest(spark, sf_dir):
 def p3_components(spark, sf_dir):
     g, split = _split(spark, sf_dir)
     train = g.join(split.select("series_id", "test_start"), "series_id").where(F.col("ts") < F.col("test_start"))
-    fit, names, cps, periods = MD.fit_trend_season(train.select("series_id", "ts", "y"))
-    return out(MD.forecast_trend_season(fit, names, cps, periods, g.select("series_id", "ts")))
+    fit, design = TR.fit_trend(train.select("series_id", "ts", "y"))
+    return out(TR.forecast_trend(fit, design, g.select("series_id", "ts")))
+
+
+@register("p3_changepoints")
+def p3_changepoints(spark, sf_dir):
+    """The changes of slope chosen in the daily order series."""
+    fit, _ = TR.fit_trend(T.daily_grid(spark, sf_dir), seasons={k: TR.SEASONS[k] for k in ("yearly", "weekly")})
+    return out(fit.select("series_id", "n", "sigma", F.inline_outer("changes")).withColumnRenamed("at", "at_seconds"))
 
 
 # ---------------------------------------------------------------- P4, P7, B11, I*

@@ -9,6 +9,7 @@ from horizonkit.operators import backtest as B
 from horizonkit.operators import features as FE
 from horizonkit.operators import inference as I
 from horizonkit.operators import models as MD
+from horizonkit.operators import trend as TR
 from horizonkit.session import scratch_path
 from horizonkit.sources import store as S
 from tests.conftest import hourly_rows
@@ -49,8 +50,8 @@ def test_trend_season_fits_seasonal_series(spark):
     rows = [("s", T0 + dt.timedelta(hours=i), float(1.5 + np.sin(2 * np.pi * ((i % 24) - 6) / 24) + rng.normal(0, 0.05)))
             for i in range(720)]
     df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, y double")
-    fit, names, cps, periods = MD.fit_trend_season(df)
-    fc = MD.forecast_trend_season(fit, names, cps, periods, df)
+    fit, design = TR.fit_trend(df)
+    fc = TR.forecast_trend(fit, design, df)
     mae = fc.join(df, ["series_id", "ts"]).agg(F.avg(F.abs(F.col("y") - F.col("forecast")))).first()[0]
     assert mae < 0.1
 
