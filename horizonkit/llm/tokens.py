@@ -21,7 +21,7 @@ import numpy as np
 
 from .text_arrays import U64, batches, hash_spans, text_sizes, words
 
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 19
 #: Parts (about 200 bytes each), spans (20 bytes) and span ids kept per worker; a full
 #: cache starts anew. Longer parts are not kept.
 CACHE_PARTS, CACHE_SPANS, CACHE_IDS, PART_CHARS = 200_000, 1_000_000, 5_000_000, 40
@@ -50,8 +50,8 @@ class Encoder:
         self.hash, self.at, self.count, self.ids = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for i in range(0, len(texts), 10_000)
-                for e in self.tokenizer.encode_batch_fast(texts[i:i + 10_000], add_special_tokens=False)]
+        return [e.ids for i in range(0, len(texts), 1_000)
+                for e in self.tokenizer.encode_batch_fast(texts[i:i + 1_000], add_special_tokens=False)]
 
     def _cut(self, span: str) -> list[str]:
         if not _COMMON.fullmatch(span):
