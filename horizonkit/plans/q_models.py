@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from ..functions.exprs import all_not_null
 from ..functions.timecols import add_steps
 from ..operators import arma as AR
+from ..operators import attribution as AT
 from ..operators import backtest as B
 from ..operators import features as FE
 from ..operators import inference as I
+from ..operators import information as IN
 from ..operators import models as MD
 from ..operators import trend as TR
 from ..sources import tables as T
@@ -158,17 +160,29 @@ def p7_feature_importance(spark, sf_dir):
     return MD.feature_importance(models, MODEL_FEATURES, spark, 20)
 
 
+def _at_24(spark, sf_dir):
+    """(model of step 24, test rows) on one horizon's frame only."""
+    g, split = _split(spark, sf_dir)
+    sup = FE.supervised(model_features(spark, sf_dir, g), [24]).join(split.select("series_id", "test_start"), "series_id")
+    sup = materialize(sup)
+    train = FE.train_mask(sup, F.col("test_start"), MODEL_FEATURES)
+    models = MD.fit_direct(train, [24], MODEL_FEATURES, "gbt", GBT_PARAMS)
+    return models, sup.where(F.col("ts") >= F.col("test_start")).where(all_not_null([*MODEL_FEATURES, "y_target"]))
+
+
 @register("p8_permutation_importance")
 def p8_permutation_importance(spark, sf_dir):
-    """MAE increase at h=24 when one input column is permuted (test period rows)."""
-    g, split, f, models = fit_models(spark, sf_dir)
-    test = FE.supervised(f, HORIZONS).join(split.select("series_id", "test_start"), "series_id") \
-             .where(F.col("ts") >= F.col("test_start")).where(F.col("horizon") == 24).persist()
-    cols = ["y_lag_1", "y_lag_24", "y_lag_168", "y_roll_mean_24", "hour_sin", "target_hour_sin"]
-    res = MD.permutation_importance(models, test, cols, 24)
-    res = spark.createDataFrame(res.collect(), res.schema)  # six rows; release the cached test rows
-    test.unpersist()
-    return res
+    """MAE increase at h=24 when one input column is permuted (test period rows), every column."""
+    models, test = _at_24(spark, sf_dir)
+    return MD.permutation_importance(models, test, MODEL_FEATURES, 24)
+
+
+@register("p8_influence")
+def p8_influence(spark, sf_dir):
+    """Mean size of each feature's part in the predictions at h=24 (test period rows)."""
+    models, test = _at_24(spark, sf_dir)
+    assembler, model = models[24].stages[-2:]
+    return out(AT.influence(AT.tree_contributions(model, assembler.transform(test), ["series_id", "ts"]), MODEL_FEATURES))
 
 
 MI_COLS = ["y_lag_1", "y_lag_6", "y_lag_24", "y_lag_168", "y_diff_1", "n_events"]
@@ -197,6 +211,14 @@ def p9_mutual_info(spark, sf_dir):
     return out(MD.mutual_info(features(spark, sf_dir), MI_COLS, "y", 10))
 
 
+@register("p9_knn_mutual_info")
+def p9_knn_mutual_info(spark, sf_dir):
+    """Every numeric model input that is no future calendar, from nearest neighbours."""
+    g = T.hourly_grid(spark, sf_dir)
+    cols = [c for c in MODEL_FEATURES if not c.startswith(("target_", "is_"))]
+    return out(IN.knn_mutual_info(model_features(spark, sf_dir, g), cols, "y"))
+
+
 @register("p10_rank_compare", _mi_sql() + f""",
 c AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, abs(corr({c}, y)) AS abs_corr FROM d" for c in MI_COLS)}),
 ra AS (SELECT feature, mutual_info, rank() OVER (ORDER BY round(mutual_info, {R}) DESC)
