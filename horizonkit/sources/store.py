@@ -8,11 +8,13 @@ shared checkpoint folder (``spark.checkpoint.dir``) unless given.
 from __future__ import annotations
 
 import json
+import random
+import time
+import uuid
 from typing import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +28,7 @@ RAW_RENAME = {"Global_active_power": "global_active_power", "Global_reactive_pow
               "Sub_metering_2": "sub_metering_2", "Sub_metering_3": "sub_metering_3"}
 RAW_MISSING = "?"
 RAW_TS_FORMAT = "d/M/yyyy H:mm:ss"
+VERSION_SCHEMA = "name string, version int, path string, alias string"
 
 
 # ---------------------------------------------------------------- S1
@@ -127,27 +130,60 @@ def load_bundle(spark: SparkSession, path: str) -> tuple[dict, dict]:
     return models, meta
 
 
-def register_version(spark: SparkSession, registry: str, name: str, bundle_path: str, alias: str | None = None) -> int:
-    """Append-only model versions (max + 1); an alias points at the
-    latest row carrying it."""
-    try:
-        cur = spark.read.parquet(registry).where(F.col("name") == name).agg(F.max("version")).first()[0] or 0
-    except AnalysisException as missing:  # first registration: no table yet
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        cur = 0
-    v = int(cur) + 1
-    spark.createDataFrame([(name, v, bundle_path, alias)], "name string, version int, path string, alias string") \
-         .write.mode("append").parquet(registry)
-    return v
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and a maker of paths on it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def _claim(spark: SparkSession, folder: str) -> bool:
+    """Whether this writer alone has claimed a version's folder: it leaves a file of its
+    own there and then lists the folder. Whoever writes last sees every claim, so no two
+    writers see only their own; one that sees another's takes its claim back."""
+    fs, path = _files(spark, folder)
+    own = path(f"{folder}/claim-{uuid.uuid4().hex}")
+    fs.create(own, False).close()
+    if sum(f.getPath().getName().startswith("claim-") for f in fs.listStatus(path(folder))) == 1:
+        return True
+    fs.delete(own, False)
+    return False
+
+
+def register_version(spark: SparkSession, registry: str, name: str, bundle_path: str, alias: str | None = None, tries: int = 100) -> int:
+    """A new version of a model; an alias points at the latest row carrying it.
+
+    Versions are folders ``<registry>/<name>/v=<n>``. A writer claims the number after the
+    highest there is, and on a lost claim tries again after a short random wait, so
+    concurrent writers get different versions. A claim whose writer failed before writing
+    its row leaves a gap in the numbers."""
+    if not name or "/" in name or name.startswith((".", "_")):
+        raise ValueError(f"not a model name: {name!r}")
+    root = f"{registry.rstrip('/')}/{name}"
+    fs, path = _files(spark, root)
+    if fs.exists(path(registry)) and any(f.isFile() for f in fs.listStatus(path(registry))):
+        raise ValueError(f"not a registry of models: {registry}")
+    for _ in range(tries):
+        taken = [f.getPath() for f in fs.listStatus(path(root))] if fs.exists(path(root)) else []
+        held = [int(p.getName()[2:]) for p in taken if p.getName().startswith("v=") and len(fs.listStatus(p))]
+        v = max(held, default=0) + 1
+        if _claim(spark, f"{root}/v={v}"):
+            spark.createDataFrame([(name, v, bundle_path, alias)], VERSION_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{root}/v={v}/row")
+            return v
+        time.sleep(random.uniform(0.01, 0.2))
+    raise RuntimeError(f"no version of {name} could be claimed in {tries} tries")
+
+
+def read_versions(spark: SparkSession, registry: str) -> DataFrame:
+    """Every registered version (name, version, path, alias)."""
+    return spark.read.schema(VERSION_SCHEMA).parquet(f"{registry.rstrip('/')}/*/v=*/row")
 
 
 def resolve_alias(spark: SparkSession, registry: str, name: str, alias: str) -> DataFrame:
-    r = spark.read.parquet(registry).where((F.col("name") == name) & (F.col("alias") == alias))
+    r = read_versions(spark, registry).where((F.col("name") == name) & (F.col("alias") == alias))
     return r.groupBy("name", "alias").agg(F.max_by(F.struct("version", "path"), "version").alias("v")) \
             .select("name", "alias", "v.version", "v.path")
 
 
 def versions(spark: SparkSession, registry: str) -> DataFrame:
     w = Window.partitionBy("name").orderBy(F.desc("version"))
-    return spark.read.parquet(registry).withColumn("is_latest", F.row_number().over(w) == 1)
+    return read_versions(spark, registry).withColumn("is_latest", F.row_number().over(w) == 1)

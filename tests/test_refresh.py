@@ -55,3 +55,22 @@ def test_registry_raises_on_unreadable_table(spark, tmp_path):
     with pytest.raises(Exception):
         register_version(spark, str(bad), "m", "p")
     assert register_version(spark, str(tmp_path / "new"), "m", "p") == 1
+
+
+def test_concurrent_writers_get_different_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from horizonkit.sources.store import read_versions, register_version, resolve_alias, versions
+    reg = str(tmp_path / "reg")
+    with ThreadPoolExecutor(6) as pool:
+        got = list(pool.map(lambda k: register_version(spark, reg, f"m{k % 2}", f"/bundle{k}", "champion" if k < 8 else None), range(12)))
+    rows = read_versions(spark, reg).collect()
+    assert len(rows) == 12 and len({(r.name, r.version) for r in rows}) == 12 and {r.path for r in rows} == {f"/bundle{k}" for k in range(12)}
+    for k, v in enumerate(got):
+        assert any((r.name, r.version, r.path) == (f"m{k % 2}", v, f"/bundle{k}") for r in rows)
+    best = max((r.version, r.path) for r in rows if r.name == "m0" and r.alias == "champion")
+    found = resolve_alias(spark, reg, "m0", "champion").first()
+    assert (found.version, found.path) == best
+    assert sum(r.is_latest for r in versions(spark, reg).collect()) == 2
+    with pytest.raises(ValueError):
+        register_version(spark, reg, "a/b", "/x")
