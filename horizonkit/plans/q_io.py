@@ -136,6 +136,20 @@ def r1_stream_hourly(spark, sf_dir):
     return out(df)
 
 
+@register("s11_refresh_changed")
+def s11_refresh_changed(spark, sf_dir):
+    """The tables brought from the events before their last two days to all events: days
+    rewritten, then the hourly table as it stands."""
+    from .refresh import refresh_changed
+    root = scratch_path(spark, "refresh-changed")
+    raw = T.read_table(spark, sf_dir, "events").select("event_type", "ts", "value")
+    last = raw.agg(F.max("ts").alias("t"))
+    refresh_changed(raw.join(last, how="cross").where("ts < date_trunc('day', t) - interval 1 day").drop("t"), root)
+    days = refresh_changed(raw, root)
+    hourly = spark.read.parquet(f"{root}/hourly")
+    return out(hourly.select("series_id", "ts", "y", "n_events", F.col("day").isin(days).alias("rewritten")))
+
+
 @register("s11_refresh_job")
 def s11_refresh_job(spark, sf_dir):
     """The full raw-to-features refresh written as day-partitioned tables (run twice: idempotent)."""

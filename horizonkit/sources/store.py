@@ -136,6 +136,23 @@ def _files(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, make = _files(spark, path)
+    return fs.exists(make(path))
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, make = _files(spark, folder)
+    return [f.getPath().getName() for f in fs.listStatus(make(folder))] if fs.exists(make(folder)) else []
+
+
+def delete_paths(spark: SparkSession, paths: Sequence[str]) -> None:
+    for p in paths:
+        fs, make = _files(spark, p)
+        fs.delete(make(p), True)
+
+
 def _claim(spark: SparkSession, folder: str) -> bool:
     """Whether this writer alone has claimed a version's folder: it leaves a file of its
     own there and then lists the folder. Whoever writes last sees every claim, so no two

@@ -28,10 +28,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def minutes_of(events: DataFrame) -> DataFrame:
+    """Per series and minute the mean value and the number of raw events."""
+    return (events.groupBy(F.col("event_type").alias("series_id"), floor_ts("ts", "minute").alias("ts"))
+                  .agg(F.avg(nan_to_null("value")).alias("y"), F.count(F.lit(1)).alias("n_events")))
+
+
 def minute_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").select("event_type", "ts", "value")
-    return (ev.groupBy(F.col("event_type").alias("series_id"), floor_ts("ts", "minute").alias("ts"))
-              .agg(F.avg(nan_to_null("value")).alias("y"), F.count(F.lit(1)).alias("n_events")))
+    return minutes_of(read_table(spark, sf_dir, "events").select("event_type", "ts", "value"))
 
 
 def minute_grid(spark: SparkSession, sf_dir: str) -> DataFrame:

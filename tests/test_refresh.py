@@ -74,3 +74,49 @@ def test_concurrent_writers_get_different_versions(spark, tmp_path):
     assert sum(r.is_latest for r in versions(spark, reg).collect()) == 2
     with pytest.raises(ValueError):
         register_version(spark, reg, "a/b", "/x")
+
+
+def _events(spark, rows):
+    return spark.createDataFrame(rows, "event_type string, ts timestamp_ntz, value double")
+
+
+def test_changed_days_equal_a_full_rebuild(spark, tmp_path):
+    """Random edits of raw rows: the tables equal those built anew, and other days' files stay."""
+    import datetime as dt
+    import random
+
+    from horizonkit.plans.refresh import TABLES, rebuild, refresh_changed
+    r = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+
+    def day_rows(series, day, share=0.04):
+        return [(series, start + dt.timedelta(days=day, minutes=m, seconds=r.randrange(60)), None if r.random() < .1 else round(r.random() * 9, 3))
+                for m in range(1440) if r.random() < share]
+
+    rows = [x for s in ("a", "b") for d in range(24) if not (s == "a" and d in (6, 7, 8, 9)) for x in day_rows(s, d)]
+    rows += day_rows("late", 20)
+    days = refresh_changed(_events(spark, rows), f"{tmp_path}/inc")
+    assert len(days) == 24
+    on = lambda x, s, d: x[0] == s and (x[1] - start).days == d
+    edits = [  # a day loses its rows and a value comes inside a long gap; a series goes on after five days; one begins later; nothing
+        lambda: [x for x in rows if not on(x, "b", 12)] + day_rows("a", 8, 0.01),
+        lambda: [(s, t, (v or 0.0) + 1 if on((s, t, v), "a", 3) else v) for s, t, v in rows] + day_rows("late", 25),
+        lambda: [x for x in rows if not (x[0] == "late" and (x[1] - start).days == 20)],
+        lambda: rows,
+    ]
+    for k, edit in enumerate(edits):
+        rows = edit()
+        before = {f: f.stat().st_mtime_ns for f in (tmp_path / "inc").rglob("*.parquet")}
+        days = refresh_changed(_events(spark, rows), f"{tmp_path}/inc")
+        rebuild(_events(spark, rows), f"{tmp_path}/full{k}")
+        for name in TABLES:
+            a, b = (spark.read.parquet(f"{tmp_path}/{x}/{name}") for x in ("inc", f"full{k}"))
+            got, want = ({(x.series_id, x.ts): x.asDict() for x in t.select(sorted(b.columns)).collect()} for t in (a, b))
+            assert set(got) == set(want), (k, name, sorted(set(got) ^ set(want))[:4])
+            for key, x in want.items():
+                for c, v in x.items():
+                    assert got[key][c] == (pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v), (k, name, key, c)
+        keep = {f for f in before if "/marks/" not in str(f) and not any((d - start.date()).days <= (dt.date.fromisoformat(f.parent.name[4:]) - start.date()).days
+                <= (d - start.date()).days + (8 if "features" in str(f) else 0) for d in days)}
+        assert all(f.exists() and f.stat().st_mtime_ns == before[f] for f in keep) and len(keep) > 10
+        assert (len(days) == 0) == (k == 3) and len(days) <= 10, (k, days)
