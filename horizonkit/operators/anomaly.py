@@ -69,10 +69,12 @@ def consensus(flags: Sequence[DataFrame], names: Sequence[str], keys=("series_id
     return j.where(F.col("n_methods_flagged") >= min_methods)
 
 
-def split_known(flagged: DataFrame, known_days: DataFrame, ts: str = "ts") -> DataFrame:
-    """Mark flagged days that are known data gaps (``is_known_gap``)."""
-    k = known_days.select(day_of("day").alias("_kd")).distinct().withColumn("is_known_gap", F.lit(True))
-    x = flagged.withColumn("_kd", day_of(ts)).join(k, "_kd", "left")
+def split_known(flagged: DataFrame, known_days: DataFrame, ts: str = "ts", keys=("series_id",)) -> DataFrame:
+    """Mark flagged days that are known data gaps (``is_known_gap``): of the same
+    series where the table of days has the key columns, else of all series."""
+    of = [k for k in keys if k in known_days.columns]
+    k = known_days.select(*of, day_of("day").alias("_kd")).distinct().withColumn("is_known_gap", F.lit(True))
+    x = flagged.withColumn("_kd", day_of(ts)).join(k, [*of, "_kd"], "left").select(*flagged.columns, "_kd", "is_known_gap")
     return x.withColumn("is_known_gap", F.coalesce("is_known_gap", F.lit(False))).drop("_kd")
 
 

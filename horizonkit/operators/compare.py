@@ -116,21 +116,23 @@ def worst_cases(bt: DataFrame, n: int = 10, kind: str = "absolute", keys: Sequen
 
 
 def label_context(cases: DataFrame, gap_ranges: DataFrame, flagged_days: DataFrame,
-                  date_col: str = "origin") -> DataFrame:
+                  date_col: str = "origin", keys: Sequence[str] = ("series_id",)) -> DataFrame:
     """``near_data_gap`` if the day lies in any closed range, else
-    ``flagged_anomaly`` if the day is flagged, else ''.
+    ``flagged_anomaly`` if the day is flagged, else ''. A lookup table with the key
+    columns labels its own series only, one without them all.
 
     The range test is turned into an equi-join: each ``(range_start,
     range_end)`` is expanded to its days and de-duplicated, so both lookup
-    tables hold at most one row per calendar day whatever the data volume
-    (AQE broadcasts them when small)."""
+    tables hold at most one row per series and calendar day (AQE broadcasts
+    them when small)."""
+    of_gap, of_day = ([k for k in keys if k in t.columns] for t in (gap_ranges, flagged_days))
     span = F.sequence(day_of("range_start").cast("date"), day_of("range_end").cast("date"))
-    gd = (gap_ranges.select(F.explode(span).alias("_d")).select(F.col("_d").cast("timestamp_ntz").alias("_day"))
+    gd = (gap_ranges.select(*of_gap, F.explode(span).alias("_d")).select(*of_gap, F.col("_d").cast("timestamp_ntz").alias("_day"))
                     .distinct().withColumn("_gap", F.lit(True)))
-    fd = flagged_days.select(day_of("day").alias("_day")).distinct().withColumn("_flag", F.lit(True))
-    j = cases.withColumn("_day", day_of(date_col)).join(gd, "_day", "left").join(fd, "_day", "left")
+    fd = flagged_days.select(*of_day, day_of("day").alias("_day")).distinct().withColumn("_flag", F.lit(True))
+    j = cases.withColumn("_day", day_of(date_col)).join(gd, [*of_gap, "_day"], "left").join(fd, [*of_day, "_day"], "left")
     ctx = F.when(F.col("_gap"), "near_data_gap").when(F.col("_flag"), "flagged_anomaly").otherwise("")
-    return j.withColumn("context", ctx).drop("_day", "_gap", "_flag")
+    return j.withColumn("context", ctx).select(*cases.columns, "context")
 
 
 def flagged_share(labelled: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:

@@ -93,10 +93,12 @@ def momentum(df: DataFrame, col: str = "y", keys=("series_id",), ts="ts", step="
 
 
 def day_flag(df: DataFrame, days: DataFrame, ts: str = "ts", day_col: str = "day",
-             name: str = "is_flagged_anomaly") -> DataFrame:
-    """0/1 by membership of the row's day in a (small) table of flagged days."""
-    d = days.select(day_of(day_col).alias("_fday")).distinct().withColumn("_fl", F.lit(1))
-    return (df.withColumn("_fday", day_of(ts)).join(F.broadcast(d), "_fday", "left")
+             name: str = "is_flagged_anomaly", keys: Sequence[str] = ("series_id",)) -> DataFrame:
+    """0/1 by membership of the row's day in a table of flagged days: of its own
+    series where the table has the key columns, else of all series."""
+    of = [k for k in keys if k in days.columns]
+    d = days.select(*of, day_of(day_col).alias("_fday")).distinct().withColumn("_fl", F.lit(1))
+    return (df.withColumn("_fday", day_of(ts)).join(d, [*of, "_fday"], "left")
               .withColumn(name, F.coalesce(F.col("_fl"), F.lit(0))).drop("_fday", "_fl"))
 
 
@@ -111,7 +113,7 @@ def build_features(df: DataFrame, col: str = "y", days: DataFrame | None = None,
                  lambda w: lag_exprs(w, col, lag_ks) + rolling_exprs(w, col, windows) + momentum_exprs(w, col),
                  bucket_steps, bucketed)
     if days is not None:
-        x = day_flag(x, days, ts)
+        x = day_flag(x, days, ts, keys=keys)
     else:
         x = x.withColumn("is_flagged_anomaly", F.lit(0))
     return x

@@ -93,17 +93,17 @@ def target_ts(fc: DataFrame, step="hour") -> DataFrame:
     return fc.withColumn("target_ts", add_steps("origin", F.col("horizon_step"), step))
 
 
-def error_bands(bt: DataFrame, lower_q: float = 0.1, upper_q: float = 0.9, by: Sequence[str] = ("method",)) -> DataFrame:
-    """I8: empirical quantiles of (actual - forecast) per horizon step (linear)."""
+def error_bands(bt: DataFrame, lower_q: float = 0.1, upper_q: float = 0.9, by: Sequence[str] = ("series_id", "method")) -> DataFrame:
+    """I8: empirical quantiles of (actual - forecast) per series, method and horizon step (linear)."""
     from ..functions.quantiles import exact_quantiles
     d = bt.where(F.col("actual").isNotNull() & F.col("forecast").isNotNull()) \
           .withColumn("_err", F.col("actual") - F.col("forecast"))
     return exact_quantiles(d, [*by, "horizon_step"], "_err", [lower_q, upper_q], names=["lower_err", "upper_err"])
 
 
-def with_interval(fc: DataFrame, bands: DataFrame, by: Sequence[str] = ("method",)) -> DataFrame:
-    """Forecast + band (left join on step; bands are one row per step)."""
-    j = fc.join(F.broadcast(bands), [*by, "horizon_step"], "left")
+def with_interval(fc: DataFrame, bands: DataFrame, by: Sequence[str] = ("series_id", "method")) -> DataFrame:
+    """Forecast + band (left join; bands are one row per series, method and step)."""
+    j = fc.join(bands, [*by, "horizon_step"], "left")
     return j.withColumn("lower", F.col("forecast") + F.col("lower_err")) \
             .withColumn("upper", F.col("forecast") + F.col("upper_err"))
 

@@ -217,15 +217,15 @@ CONTEXT_SQL = f"""{O.BT24}, {WORST_SQL},
 hg AS (SELECT series_id, ts, y IS NULL AS miss,
          row_number() OVER (PARTITION BY series_id ORDER BY ts)
          - row_number() OVER (PARTITION BY series_id, y IS NULL ORDER BY ts) AS grp FROM hourly),
-ranges AS (SELECT min(ts) AS range_start, max(ts) AS range_end FROM hg WHERE miss GROUP BY series_id, grp),
-z AS (SELECT ts, (y - avg(y) OVER (PARTITION BY series_id)) / stddev_samp(y) OVER (PARTITION BY series_id) AS z
+ranges AS (SELECT series_id, min(ts) AS range_start, max(ts) AS range_end FROM hg WHERE miss GROUP BY series_id, grp),
+z AS (SELECT series_id, ts, (y - avg(y) OVER (PARTITION BY series_id)) / stddev_samp(y) OVER (PARTITION BY series_id) AS z
       FROM hourly),
-fdays AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM z WHERE abs(z) > 3),
+fdays AS (SELECT DISTINCT series_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM z WHERE abs(z) > 3),
 lab AS (SELECT w.*, CASE
-    WHEN EXISTS (SELECT 1 FROM ranges r WHERE CAST(CAST(w.origin AS DATE) AS TIMESTAMP)
+    WHEN EXISTS (SELECT 1 FROM ranges r WHERE r.series_id = w.series_id AND CAST(CAST(w.origin AS DATE) AS TIMESTAMP)
                  BETWEEN CAST(CAST(r.range_start AS DATE) AS TIMESTAMP) AND CAST(CAST(r.range_end AS DATE) AS TIMESTAMP))
       THEN 'near_data_gap'
-    WHEN CAST(CAST(w.origin AS DATE) AS TIMESTAMP) IN (SELECT day FROM fdays) THEN 'flagged_anomaly'
+    WHEN (w.series_id, CAST(CAST(w.origin AS DATE) AS TIMESTAMP)) IN (SELECT (series_id, day) FROM fdays) THEN 'flagged_anomaly'
     ELSE '' END AS context FROM worst w)"""
 
 
@@ -237,9 +237,9 @@ def labelled_cases(spark, sf_dir):
     g = materialize(T.hourly_grid(spark, sf_dir))
     bt = hourly_backtest(spark, sf_dir, grid=g)
     cases = C.worst_cases(bt, 10)
-    ranges = G.find_gaps(g, ["y"], step="hour").select(F.col("start").alias("range_start"),
+    ranges = G.find_gaps(g, ["y"], step="hour").select("series_id", F.col("start").alias("range_start"),
                                                        F.col("end").alias("range_end"))
-    days = A.zscore(g).where(F.col("zscore_flag")).select(day_of("ts").alias("day"))
+    days = A.zscore(g).where(F.col("zscore_flag")).select("series_id", day_of("ts").alias("day"))
     return C.label_context(cases, ranges, days)
 
 

@@ -54,18 +54,18 @@ def mom_sql(col="y") -> str:
             f"round(({l1} - {l25}) / nullif({l25}, 0), {R}) AS {col}_pct_change_24")
 
 
-FLAGGED_SQL = "flagged AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM hourly WHERE y IS NULL)"
+FLAGGED_SQL = "flagged AS (SELECT DISTINCT series_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM hourly WHERE y IS NULL)"
 FEATURES_SQL = f"""{O.HOURLY}, {FLAGGED_SQL},
 cal AS (SELECT *, {cal_sql()} FROM hourly),
 feat AS (SELECT series_id, ts, round(y, {R}) AS y, n_events, hour, dayofweek, month, quarter, is_weekend, season,
   {cyc_sql('hour', 'dayofweek', 'month')}, {lag_sql()}, {roll_sql()}, {mom_sql()},
-  CAST(CAST(CAST(ts AS DATE) AS TIMESTAMP) IN (SELECT day FROM flagged) AS INTEGER) AS is_flagged_anomaly
+  CAST((series_id, CAST(CAST(ts AS DATE) AS TIMESTAMP)) IN (SELECT (series_id, day) FROM flagged) AS INTEGER) AS is_flagged_anomaly
   FROM cal)"""
 
 
 def flagged_days(hourly):
-    """Days on which any series has a missing hour (data-derived flag table)."""
-    return hourly.where(F.col("y").isNull()).select(day_of("ts").alias("day")).distinct()
+    """Days on which a series has a missing hour (data-derived flag table)."""
+    return hourly.where(F.col("y").isNull()).select("series_id", day_of("ts").alias("day")).distinct()
 
 
 def features(spark, sf_dir):
@@ -102,7 +102,7 @@ def f5_momentum(spark, sf_dir):
 
 @register("f6_day_flag", f"""WITH {O.HOURLY}, {FLAGGED_SQL}
 SELECT series_id, ts, round(y, {R}) AS y, n_events,
-  CAST(CAST(CAST(ts AS DATE) AS TIMESTAMP) IN (SELECT day FROM flagged) AS INTEGER) AS is_flagged_anomaly FROM hourly""")
+  CAST((series_id, CAST(CAST(ts AS DATE) AS TIMESTAMP)) IN (SELECT (series_id, day) FROM flagged) AS INTEGER) AS is_flagged_anomaly FROM hourly""")
 def f6_day_flag(spark, sf_dir):
     h = T.hourly_grid(spark, sf_dir)
     return out(FE.day_flag(h, flagged_days(h)))

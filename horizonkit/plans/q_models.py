@@ -290,13 +290,13 @@ def i5_score_origins(spark, sf_dir):
     return out(fc.unionByName(rej))
 
 
-BANDS_SQL = f"""bands AS (SELECT method, horizon_step, quantile_cont(actual - forecast, 0.1) AS lower_err,
+BANDS_SQL = f"""bands AS (SELECT series_id, method, horizon_step, quantile_cont(actual - forecast, 0.1) AS lower_err,
   quantile_cont(actual - forecast, 0.9) AS upper_err FROM bt WHERE actual IS NOT NULL AND forecast IS NOT NULL
-  GROUP BY 1, 2)"""
+  GROUP BY 1, 2, 3)"""
 
 
 @register("i8_error_bands", f"""WITH {O.BT24}, {BANDS_SQL}
-SELECT method, horizon_step, round(lower_err, {R}) AS lower_err, round(upper_err, {R}) AS upper_err FROM bands""")
+SELECT series_id, method, horizon_step, round(lower_err, {R}) AS lower_err, round(upper_err, {R}) AS upper_err FROM bands""")
 def i8_error_bands(spark, sf_dir):
     return out(I.error_bands(hourly_backtest(spark, sf_dir)))
 
@@ -311,7 +311,7 @@ fc AS (SELECT l.series_id, l.origin, CAST(s.h AS INTEGER) AS horizon_step, 'dail
 SELECT fc.series_id, fc.origin, fc.horizon_step, fc.method, round(forecast, {R}) AS forecast,
   round(lower_err, {R}) AS lower_err, round(upper_err, {R}) AS upper_err,
   round(forecast + lower_err, {R}) AS lower, round(forecast + upper_err, {R}) AS upper
-FROM fc LEFT JOIN bands b ON fc.method = b.method AND fc.horizon_step = b.horizon_step""")
+FROM fc LEFT JOIN bands b ON fc.series_id = b.series_id AND fc.method = b.method AND fc.horizon_step = b.horizon_step""")
 def i9_forecast_interval(spark, sf_dir):
     """Tiled-profile forecast issued at each series' latest hour, with empirical bands."""
     g = T.hourly_grid(spark, sf_dir)

@@ -204,11 +204,11 @@ def a5_consensus(spark, sf_dir):
 
 
 @register("a6_known_gaps", f"""WITH {FLAGS_SQL},
-known AS (SELECT DISTINCT ts AS day FROM daily WHERE y IS NULL)
-SELECT f.*, f.ts IN (SELECT day FROM known) AS is_known_gap FROM flagged f""")
+known AS (SELECT DISTINCT series_id, ts AS day FROM daily WHERE y IS NULL)
+SELECT f.*, (f.series_id, f.ts) IN (SELECT (series_id, day) FROM known) AS is_known_gap FROM flagged f""")
 def a6_known_gaps(spark, sf_dir):
     d = T.daily_grid(spark, sf_dir)
-    known = d.where(F.col("y").isNull()).select(F.col("ts").alias("day"))
+    known = d.where(F.col("y").isNull()).select("series_id", F.col("ts").alias("day"))
     return A.split_known(consensus(spark, sf_dir), known)
 
 

@@ -38,7 +38,7 @@ LOOKBACK_DAYS = 8  # of the feature table: 168 steps and a shift, in whole days
 
 
 def _flagged(hourly: DataFrame) -> DataFrame:
-    return hourly.where(F.col("y").isNull()).select(day_of("ts").alias("day")).distinct()
+    return hourly.where(F.col("y").isNull()).select("series_id", day_of("ts").alias("day")).distinct()
 
 
 def rebuild(raw: DataFrame, root: str, limit: int = 180) -> None:

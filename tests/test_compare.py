@@ -97,3 +97,28 @@ def test_t_and_chi2_tails():
     assert abs(t_two_sided_p(2.228139, 10) - 0.05) < 1e-6
     assert abs(chi2_sf(3.841459, 1) - 0.05) < 1e-6
     assert abs(chi2_sf(18.307038, 10) - 0.05) < 1e-6
+
+
+def test_context_bands_flags_and_gaps_stay_with_their_series(spark):
+    """Two series: what one misses, flags or errs by does not touch the other."""
+    import datetime as dt
+
+    from horizonkit.operators import anomaly as A
+    from horizonkit.operators import features as FE
+    from horizonkit.operators import inference as I
+    day = dt.datetime(2024, 3, 1)
+    cases = spark.createDataFrame([("a", day, "m"), ("b", day, "m")], "series_id string, origin timestamp_ntz, method string")
+    gaps = spark.createDataFrame([("a", day, day)], "series_id string, range_start timestamp_ntz, range_end timestamp_ntz")
+    flagged = spark.createDataFrame([("b", day)], "series_id string, day timestamp_ntz")
+    assert {r.series_id: r.context for r in C.label_context(cases, gaps, flagged).collect()} == {"a": "near_data_gap", "b": "flagged_anomaly"}
+    assert {r.series_id: r.context for r in C.label_context(cases, gaps.drop("series_id"), flagged).collect()} == {"a": "near_data_gap", "b": "near_data_gap"}
+    rows = spark.createDataFrame([("a", day), ("b", day)], "series_id string, ts timestamp_ntz")
+    assert {r.series_id: r.is_flagged_anomaly for r in FE.day_flag(rows, flagged).collect()} == {"a": 0, "b": 1}
+    assert {r.series_id: r.is_flagged_anomaly for r in FE.day_flag(rows, flagged.drop("series_id")).collect()} == {"a": 1, "b": 1}
+    assert {r.series_id: r.is_known_gap for r in A.split_known(rows, flagged).collect()} == {"a": False, "b": True}
+    bt = spark.createDataFrame([(s, "m", 1, 10.0, 10.0 - k * e) for s, e in (("a", 1.0), ("b", 5.0)) for k in range(11)],
+                               "series_id string, method string, horizon_step int, actual double, forecast double")
+    bands = I.error_bands(bt)
+    assert {r.series_id: (r.lower_err, r.upper_err) for r in bands.collect()} == {"a": (1.0, 9.0), "b": (5.0, 45.0)}
+    fc = spark.createDataFrame([("a", "m", 1, 100.0), ("b", "m", 1, 100.0), ("c", "m", 1, 100.0)], "series_id string, method string, horizon_step int, forecast double")
+    assert {r.series_id: r.upper for r in I.with_interval(fc, bands).collect()} == {"a": 109.0, "b": 145.0, "c": None}
