@@ -39,6 +39,13 @@ def read_window(df: DataFrame, as_of, lookback: int = LOOKBACK, keys=("series_id
     return to_grid(w, keys, ts, step, bounds=lo)
 
 
+def on_grid(near: DataFrame, as_of: DataFrame, lookback: int = LOOKBACK, keys=("series_id",), ts="ts", step="hour") -> DataFrame:
+    """Rows of ``sources.store.read_recent`` with null rows for the missing steps of
+    [as_of - lookback, as_of]: a grid of the window, not of the history."""
+    bounds = as_of.select(*keys, add_steps("as_of", -lookback, step).alias("_lo"), F.col("as_of").alias("_hi"))
+    return to_grid(near, keys, ts, step, bounds=bounds)
+
+
 def features_at(recent: DataFrame, as_of: DataFrame, feature_cols: Sequence[str], days: DataFrame | None = None,
                 keys=("series_id",), ts="ts", step="hour", strict: bool = False):
     """The feature row at ``as_of`` from a bounded window; equals the
@@ -56,8 +63,8 @@ def features_at(recent: DataFrame, as_of: DataFrame, feature_cols: Sequence[str]
     nulls = at.where(~ok).select(*keys, ts).withColumn("reason", F.lit("null_feature"))
     rejects = missing.unionByName(nulls)
     if strict:
-        rows = at.withColumn("_chk", F.when(ok, F.lit(True)).otherwise(
-            F.raise_error(F.lit("feature row has missing values")))).drop("_chk")
+        # in a filter: a column that is dropped again would never be evaluated
+        rows = at.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit("feature row has missing values")).cast("boolean")))
     return rows, rejects
 
 

@@ -270,6 +270,28 @@ def i1_features_at_latest(spark, sf_dir):
     return out(rows)
 
 
+ORIGIN_FEATURES = [c for c in MODEL_FEATURES if not c.startswith("target_")]
+
+
+@register("i2_latest_from_store", f"""WITH {FEATURES_SQL},
+last_rows AS (SELECT * FROM feat WHERE (series_id, ts) IN (SELECT series_id, max(ts) FROM hourly GROUP BY 1))
+SELECT series_id, ts, {", ".join(f"CASE WHEN {' AND '.join(f'{c} IS NOT NULL' for c in ORIGIN_FEATURES)} THEN {c} END AS {c}" for c in ORIGIN_FEATURES)},
+  CASE WHEN NOT ({' AND '.join(f'{c} IS NOT NULL' for c in ORIGIN_FEATURES)}) THEN 'null_feature' END AS reason FROM last_rows""")
+def i2_latest_from_store(spark, sf_dir):
+    """Feature rows at each series' latest hour, from the day partitions of the last 192
+    hours of the hourly store; rejected ones have a reason in place of features."""
+    from ..session import scratch_path
+    from ..sources.store import read_recent, write_series_store
+    from .q_features import flagged_days
+    root = scratch_path(spark, "hourly-store")
+    write_series_store(T.hourly_grid(spark, sf_dir), root)
+    near, as_of = read_recent(spark, root, I.LOOKBACK)
+    recent = materialize(I.on_grid(near, as_of))
+    rows, rejects = I.features_at(recent, as_of, ORIGIN_FEATURES, flagged_days(recent))
+    rows = rows.select("series_id", "ts", *ORIGIN_FEATURES, F.lit(None).cast("string").alias("reason"))
+    return out(rows.unionByName(rejects, allowMissingColumns=True))
+
+
 @register("i3_predict_latest")
 def i3_predict_latest(spark, sf_dir):
     g, split, f, models = fit_models(spark, sf_dir)

@@ -203,6 +203,17 @@ def a5_consensus(spark, sf_dir):
     return consensus(spark, sf_dir)
 
 
+@register("a5_consensus_forest")
+def a5_consensus_forest(spark, sf_dir):
+    """Four detectors: z-score, robust STL residual, rolling IQR and the isolation forest on
+    the day's total and count; a flag column each, days that two or more flag."""
+    d = materialize(T.daily_grid(spark, sf_dir))
+    z = A.zscore(d)
+    rz = A.residual_zscore(G.interpolate_position(d, ["y"], step="day"), method="stl")
+    forest = A.isolation_forest(FE.standardize(d, ["y", "n_orders"]), ["y", "n_orders"], 0.02, 100, 256, 42)
+    return A.consensus([z, rz, A.rolling_iqr(d), forest], ["zscore_flag", "resid_flag", "iqr_flag", "iforest_flag"])
+
+
 @register("a6_known_gaps", f"""WITH {FLAGS_SQL},
 known AS (SELECT DISTINCT series_id, ts AS day FROM daily WHERE y IS NULL)
 SELECT f.*, (f.series_id, f.ts) IN (SELECT (series_id, day) FROM known) AS is_known_gap FROM flagged f""")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import nan_to_null
+from ..functions.timecols import add_steps
 
 # Column layout of the raw semicolon-delimited measurement text.
 RAW_COLUMNS = ["Date", "Time", "Global_active_power", "Global_reactive_power", "Voltage", "Global_intensity",
@@ -81,6 +82,29 @@ def latest_origin(df: DataFrame, keys=("series_id",), ts="ts") -> DataFrame:
     return df.groupBy(*keys).agg(F.max(ts).alias("as_of"))
 
 
+# ---------------------------------------------------------------- S5
+def write_series_store(df: DataFrame, root: str, keys: Sequence[str] = ("series_id",), ts: str = "ts") -> None:
+    """Rows partitioned by day under ``rows``, and each series' last time under ``latest``."""
+    rows = df.withColumn("day", F.date_trunc("day", F.col(ts)).cast("date"))
+    write_table(rows, f"{root}/rows", ["day"])
+    stored = df.sparkSession.read.parquet(f"{root}/rows")
+    write_table(latest_origin(stored, keys, ts), f"{root}/latest")
+
+
+def read_recent(spark: SparkSession, root: str, lookback: int, as_of: DataFrame | None = None, keys: Sequence[str] = ("series_id",), ts: str = "ts",
+                step="hour") -> tuple[DataFrame, DataFrame]:
+    """(rows, as_of): of each series the rows in [as_of - lookback, as_of], and the
+    table of times read for (``latest`` unless given). The days that any of these ranges
+    touches become literals, so the scan opens their partitions only, whatever the
+    length of the history; a grid is left to the caller."""
+    at = as_of if as_of is not None else spark.read.parquet(f"{root}/latest")
+    first = add_steps("as_of", -lookback, step)
+    days = at.select(F.explode(F.sequence(first.cast("date"), F.col("as_of").cast("date"))).alias("day")).distinct().collect()  # days of the calendar
+    rows = spark.read.parquet(f"{root}/rows").where(F.col("day").isin([r.day for r in days]) if days else F.lit(False)).drop("day")
+    near = rows.join(at.select(*keys, "as_of"), list(keys)).where((F.col(ts) >= first) & (F.col(ts) <= F.col("as_of")))
+    return near.select(rows.columns), at
+
+
 # ---------------------------------------------------------------- S7, S8
 def save_results(df: DataFrame, root: str, result_set: str) -> None:
     """Store one named result set (its partition is replaced on re-run)."""

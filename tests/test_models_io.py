@@ -3,10 +3,12 @@ import datetime as dt
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from horizonkit.operators import backtest as B
 from horizonkit.operators import features as FE
+from horizonkit.operators import grid as G
 from horizonkit.operators import inference as I
 from horizonkit.operators import models as MD
 from horizonkit.operators import trend as TR
@@ -228,3 +230,39 @@ def test_batch_forecast_has_24_steps_an_origin(spark, monkeypatch):
     for r in rows:
         steps.setdefault((r["series_id"], r["origin"]), []).append(r["horizon_step"])
     assert steps and all(sorted(x) == list(range(1, 25)) for x in steps.values())
+
+
+def test_recent_window_reads_its_days_only(spark, tmp_path):
+    """The store's scan has partition filters and opens the days of the window; null features raise."""
+    from horizonkit.sources.store import read_recent, write_series_store
+    rows = [("a", T0 + dt.timedelta(hours=i), float(np.sin(i / 5.0) + 2), 1) for i in range(24 * 60) if i % 97]
+    rows += [("b", T0 + dt.timedelta(hours=i), float(i % 7 + 1), 1) for i in range(24 * 30)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, y double, n_events int")
+    root = str(tmp_path / "store")
+    write_series_store(df, root)
+    near, as_of = read_recent(spark, root, 192)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day#" in plan
+    got = {(r.series_id, r.ts) for r in near.collect()}
+    last = {"a": max(t for s, t, *_ in rows if s == "a"), "b": max(t for s, t, *_ in rows if s == "b")}
+    assert got == {(s, t) for s, t, *_ in rows if last[s] - dt.timedelta(hours=192) <= t <= last[s]}
+    import shutil
+    for k in (*range(10, 20), *range(33, 45)):  # days outside both windows: not opened
+        shutil.move(f"{root}/rows/day={(T0 + dt.timedelta(days=k)).date()}", f"{tmp_path}/away{k}")
+    near, as_of = read_recent(spark, root, 192)
+    recent = I.on_grid(near, as_of)
+    assert recent.count() == 2 * 193
+    f, rejects = I.features_at(recent, as_of, ["y_lag_168", "y_lag_1"])
+    full = FE.build_features(G.to_grid(df, step="hour"), "y")
+    want = {r.series_id: r for r in full.join(as_of.withColumnRenamed("as_of", "ts"), ["series_id", "ts"]).collect()}
+    for r in f.collect():
+        assert r.y_lag_168 == want[r.series_id].y_lag_168 and r.y_roll_mean_24 == want[r.series_id].y_roll_mean_24
+    hole = spark.createDataFrame([("a", T0 + dt.timedelta(hours=97 * 10 + 1))], "series_id string, as_of timestamp_ntz")
+    near, _ = read_recent(spark, root, 192, hole)
+    _, rejects = I.features_at(I.on_grid(near, hole), hole, ["y_lag_1"])
+    assert [r.reason for r in rejects.collect()] == ["null_feature"]
+    strict, _ = I.features_at(I.on_grid(near, hole), hole, ["y_lag_1"], strict=True)
+    with pytest.raises(Exception, match="missing values"):
+        strict.collect()
+    nothing, _ = read_recent(spark, root, 192, as_of.limit(0))
+    assert nothing.collect() == []
