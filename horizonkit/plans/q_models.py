@@ -14,6 +14,7 @@ from ..operators import inference as I
 from ..operators import information as IN
 from ..operators import models as MD
 from ..operators import trend as TR
+from ..operators import tuning as TU
 from ..sources import tables as T
 from . import oracle as O
 from .q_core import hourly_backtest
@@ -388,30 +389,26 @@ def i7_attach_actuals(spark, sf_dir):
     return out(B.attach_actuals(fc, g))
 
 
+TUNING_SPACE = {"maxDepth": TU.Choice((3, 4, 5, 6)), "stepSize": TU.Between(0.02, 0.3, log=True), "minInstancesPerNode": TU.Choice((5, 10, 20, 40)),
+                "subsamplingRate": TU.Between(0.6, 1.0, digits=2), "featureSubsetStrategy": TU.Choice(("all", "onethird", "sqrt"))}
+
+
 @register("p5_tuning")
-def p5_tuning(spark, sf_dir, trials: int = 4, seed: int = 42):
-    """Seeded random search of boosted-tree parameters on a chronological
-    hold-out (last 10 % of the training rows, no shuffling), one horizon (24);
-    returns the trial table with validation MAE, best first."""
-    import random
-    g, split, f, sup = supervised_frame(spark, sf_dir)
-    train = FE.train_mask(sup.join(split.select("series_id", "test_start"), "series_id"), F.col("test_start"),
-                          MODEL_FEATURES).where(F.col("horizon") == 24)
-    cut = B.chrono_split(train.drop("test_start"), 0.9, step="hour").persist()
+def p5_tuning(spark, sf_dir, trials: int = 20, seed: int = 42):
+    """Adaptive search of boosted-tree parameters on a chronological hold-out (last 10 % of
+    the training rows, no shuffling), one horizon (24): the trial table, best first."""
+    from ..session import scratch_path
+    g, split = _split(spark, sf_dir)
+    sup = FE.supervised(model_features(spark, sf_dir, g), [24]).join(split.select("series_id", "test_start"), "series_id")
+    train = FE.train_mask(sup, F.col("test_start"), MODEL_FEATURES)
+    cut = materialize(B.chrono_split(train.drop("test_start"), 0.9, step="hour"))
     fit_rows, val_rows = cut.where(F.col("split") == "train"), cut.where(F.col("split") == "test")
-    rnd = random.Random(seed)
-    rows = []
-    for t in range(trials):
-        params = {"maxIter": rnd.choice([3, 5, 8]), "maxDepth": rnd.choice([3, 4, 5]),
-                  "stepSize": round(rnd.uniform(0.05, 0.3), 3), "minInstancesPerNode": rnd.choice([5, 10, 20]),
-                  "subsamplingRate": round(rnd.uniform(0.6, 1.0), 2), "seed": seed}
-        m = MD.fit_direct(fit_rows, [24], MODEL_FEATURES, "gbt", params)
-        mae = MD.predict_direct(m, val_rows).join(
-            val_rows.select("series_id", F.col("ts").alias("origin"), F.col("y_target").alias("actual")),
-            ["series_id", "origin"]).agg(F.avg(F.abs(F.col("actual") - F.col("forecast")))).first()[0]
-        rows.append((t, params["maxIter"], params["maxDepth"], params["stepSize"], params["minInstancesPerNode"],
-                     params["subsamplingRate"], float(mae) if mae is not None else None))
-    cut.unpersist()
-    tbl = spark.createDataFrame(rows, "trial int, max_iter int, max_depth int, step_size double, "
-                                      "min_instances int, subsampling double, val_mae double")
-    return tbl.orderBy("val_mae")
+    actual = val_rows.select("series_id", F.col("ts").alias("origin"), F.col("y_target").alias("actual"))
+
+    def evaluate(params, rounds):
+        m = MD.fit_direct(fit_rows, [24], MODEL_FEATURES, "gbt", {**params, "maxIter": rounds, "seed": seed})
+        scored = MD.predict_direct(m, val_rows).join(actual, ["series_id", "origin"])
+        return scored.agg(F.avg(F.abs(F.col("actual") - F.col("forecast")))).first()[0]
+
+    table = TU.search(spark, evaluate, TUNING_SPACE, scratch_path(spark, "tuning"), trials, seed=seed)
+    return out(table.withColumnRenamed("loss", "val_mae"))
