@@ -83,14 +83,18 @@ def expand_horizons(rows: DataFrame, horizons: Sequence[int], ts="ts", step="hou
 def score_origins(models: dict, features: DataFrame, origins: DataFrame, horizons: Sequence[int],
                   feature_cols: Sequence[str], keys=("series_id",), ts="ts", step="hour",
                   method: str = "gbt_direct"):
-    """Score every requested origin in one pass; origins without a
-    complete feature row are returned as rejects (anti join)."""
+    """Score every requested origin in one pass. Returns (forecasts, rejects); each
+    reject (keys, origin, reason) has no row at its origin ('missing_origin') or one
+    with a missing feature ('null_feature')."""
     from .models import predict_direct
     keys = list(keys)
     o = origins.select(*keys, F.col("origin").alias(ts))
     origin_cols = [c for c in feature_cols if not c.startswith("target_")]
-    rows = features.join(o, [*keys, ts], "inner").where(all_not_null(origin_cols))
-    rejects = o.join(rows.select(*keys, ts), [*keys, ts], "left_anti").withColumnRenamed(ts, "origin")
+    at = features.join(o, [*keys, ts], "inner")
+    rows = at.where(all_not_null(origin_cols))
+    here = at.groupBy(*keys, ts).agg(F.max(all_not_null(origin_cols).cast("int")).alias("_fine"))
+    rejects = o.distinct().join(here, [*keys, ts], "left").where(F.coalesce(F.col("_fine"), F.lit(0)) == 0).select(
+        *keys, F.col(ts).alias("origin"), F.when(F.col("_fine").isNull(), "missing_origin").otherwise("null_feature").alias("reason"))
     fc = predict_direct(models, expand_horizons(rows, horizons, ts, step), keys, ts, method, step)
     return fc, rejects
 

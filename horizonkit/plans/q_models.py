@@ -19,7 +19,8 @@ from ..sources import tables as T
 from . import oracle as O
 from .q_core import hourly_backtest
 from .q_features import FEATURES_SQL, features
-from ..session import materialize
+from ..session import materialize, scratch_path
+from ..sources.store import load_bundle, save_bundle
 from .registry import out, register
 
 R = O.R
@@ -127,10 +128,31 @@ def fit_models(spark, sf_dir):
     g, split, f, sup = supervised_frame(spark, sf_dir)
     train = FE.train_mask(sup.join(split.select("series_id", "test_start"), "series_id"), F.col("test_start"),
                           MODEL_FEATURES)
-    train = train.persist()
-    models = MD.fit_direct(train, HORIZONS, MODEL_FEATURES, "gbt", GBT_PARAMS)
-    train.unpersist()
-    return g, split, f, models
+    return g, split, f, _bundle(spark, sf_dir, train)
+
+
+_bundles: dict[tuple, str] = {}
+
+
+def _bundle(spark, sf_dir, train):
+    """The models of all horizons: fitted once for the same events in an application, and
+    loaded from the stored bundle after that. The training frame is written by horizon,
+    so each fit scans its own rows."""
+    mark = T.read_table(spark, sf_dir, "events").agg(F.count(F.lit(1)), F.sum(F.xxhash64("event_type", "ts", "value").cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, sf_dir, *mark)
+    if key not in _bundles:
+        by = scratch_path(spark, "train-by-horizon")
+        train.write.partitionBy("horizon").parquet(by)
+        models = MD.fit_direct(spark.read.parquet(by), HORIZONS, MODEL_FEATURES, "gbt", GBT_PARAMS, parallelism=8)
+        path = scratch_path(spark, "bundle")
+        save_bundle(models, path, spark, {"features": MODEL_FEATURES})
+        _bundles[key] = path
+    return load_bundle(spark, _bundles[key])[0]
+
+
+def _with_rejects(fc, rejects):
+    """Forecast rows, and a row with the reason for each origin that has none."""
+    return fc.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects.withColumn("method", F.lit("rejected")), allowMissingColumns=True)
 
 
 @register("p4_direct_fit")
@@ -140,8 +162,7 @@ def p4_direct_fit(spark, sf_dir):
     train = FE.train_mask(sup.join(split.select("series_id", "test_start"), "series_id"), F.col("test_start"),
                           MODEL_FEATURES)
     train = materialize(train)
-    models = MD.fit_direct(train, HORIZONS, MODEL_FEATURES, "gbt", GBT_PARAMS)
-    fc = MD.predict_direct(models, train)
+    fc = MD.predict_direct(_bundle(spark, sf_dir, train), train)
     sc = fc.join(train.select("series_id", F.col("ts").alias("origin"), F.col("horizon").alias("horizon_step"),
                               F.col("y_target").alias("actual")), ["series_id", "origin", "horizon_step"])
     return out(sc.groupBy("horizon_step").agg(F.avg(F.abs(F.col("actual") - F.col("forecast"))).alias("train_mae"),
@@ -281,7 +302,6 @@ SELECT series_id, ts, {", ".join(f"CASE WHEN {' AND '.join(f'{c} IS NOT NULL' fo
 def i2_latest_from_store(spark, sf_dir):
     """Feature rows at each series' latest hour, from the day partitions of the last 192
     hours of the hourly store; rejected ones have a reason in place of features."""
-    from ..session import scratch_path
     from ..sources.store import read_recent, write_series_store
     from .q_features import flagged_days
     root = scratch_path(spark, "hourly-store")
@@ -298,19 +318,15 @@ def i3_predict_latest(spark, sf_dir):
     g, split, f, models = fit_models(spark, sf_dir)
     from ..sources.store import latest_origin
     as_of = latest_origin(g).withColumnRenamed("as_of", "origin")
-    fc, rejects = I.score_origins(models, f, as_of, HORIZONS, MODEL_FEATURES)
-    return out(I.target_ts(fc))
+    return out(I.target_ts(_with_rejects(*I.score_origins(models, f, as_of, HORIZONS, MODEL_FEATURES))))
 
 
 @register("i5_score_origins")
 def i5_score_origins(spark, sf_dir):
     """Every daily origin of the test period scored in one pass; rejected
-    origins are reported with forecast = null."""
+    origins are reported with forecast = null and the reason."""
     g, split, f, models = fit_models(spark, sf_dir)
-    fc, rejects = I.score_origins(models, f, _origins(split), HORIZONS, MODEL_FEATURES)
-    rej = rejects.select("series_id", "origin", F.lit(None).cast("int").alias("horizon_step"),
-                         F.lit("rejected").alias("method"), F.lit(None).cast("double").alias("forecast"))
-    return out(fc.unionByName(rej))
+    return out(_with_rejects(*I.score_origins(models, f, _origins(split), HORIZONS, MODEL_FEATURES)))
 
 
 BANDS_SQL = f"""bands AS (SELECT series_id, method, horizon_step, quantile_cont(actual - forecast, 0.1) AS lower_err,
@@ -363,11 +379,10 @@ def i11_target_ts(spark, sf_dir):
 @register("i4_batch_forecast")
 def i4_batch_forecast(spark, sf_dir):
     """Latest features → per-horizon forecasts → forecast sink, read back."""
-    from ..session import scratch_path
     from ..sources.store import latest_origin, save_forecasts
     g, split, f, models = fit_models(spark, sf_dir)
     as_of = latest_origin(g).withColumnRenamed("as_of", "origin")
-    fc, _ = I.score_origins(models, f, as_of, HORIZONS, MODEL_FEATURES)
+    fc = _with_rejects(*I.score_origins(models, f, as_of, HORIZONS, MODEL_FEATURES))
     root = scratch_path(spark, "batch-forecast")
     save_forecasts(I.target_ts(fc), root)
     return out(spark.read.parquet(root))
@@ -397,7 +412,6 @@ TUNING_SPACE = {"maxDepth": TU.Choice((3, 4, 5, 6)), "stepSize": TU.Between(0.02
 def p5_tuning(spark, sf_dir, trials: int = 20, seed: int = 42):
     """Adaptive search of boosted-tree parameters on a chronological hold-out (last 10 % of
     the training rows, no shuffling), one horizon (24): the trial table, best first."""
-    from ..session import scratch_path
     g, split = _split(spark, sf_dir)
     sup = FE.supervised(model_features(spark, sf_dir, g), [24]).join(split.select("series_id", "test_start"), "series_id")
     train = FE.train_mask(sup, F.col("test_start"), MODEL_FEATURES)
