@@ -81,7 +81,7 @@ def point_loss(kind: str, actual="actual", forecast="forecast") -> Column:
         return F.abs(a - f)
     if kind == "squared":
         return (a - f) * (a - f)
-    raise ValueError(f"Unknown loss kind: {kind!r}")
+    raise ValueError(f"a loss is 'absolute' or 'squared', not {kind!r}")
 
 
 # Fixed value: rounding offset of the comparison edge (boundary at the fractional

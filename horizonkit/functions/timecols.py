@@ -70,18 +70,7 @@ def day_of(ts) -> Column:
     return col(ts).cast("date").cast("timestamp_ntz")
 
 
-# Month → meteorological season (December–February is winter).
-SEASON_OF_MONTH = {12: "winter", 1: "winter", 2: "winter",
-                   3: "spring", 4: "spring", 5: "spring",
-                   6: "summer", 7: "summer", 8: "summer",
-                   9: "fall", 10: "fall", 11: "fall"}
-
-
 def season(ts) -> Column:
     m = F.month(col(ts))
     return (F.when(m.isin(12, 1, 2), "winter").when(m.isin(3, 4, 5), "spring")
             .when(m.isin(6, 7, 8), "summer").when(m.isin(9, 10, 11), "fall"))
-
-
-SEASON_SQL = ("CASE WHEN month({c}) IN (12,1,2) THEN 'winter' WHEN month({c}) IN (3,4,5) THEN 'spring' "
-              "WHEN month({c}) IN (6,7,8) THEN 'summer' ELSE 'fall' END")

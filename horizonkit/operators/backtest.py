@@ -113,8 +113,7 @@ def lookup_forecasts(grid: DataFrame, origins: DataFrame, methods: Sequence[Look
     keys = list(keys)
     for m in methods:
         if m.max_horizon is not None and horizon > m.max_horizon:
-            raise ValueError(f"horizon ({horizon}) exceeds lag ({m.max_horizon}) for {m.name}: "
-                             "the farthest step would read a value after the origin")
+            raise ValueError(f"{m.name} can forecast at most {m.max_horizon} steps, {horizon} asked for")
     o = origins.select(*keys, "origin").join(series_bounds(grid, keys, ts), keys)
     parts = []
     for m in methods:

@@ -201,4 +201,12 @@ def standardize(df: DataFrame, cols: Sequence[str], keys=("series_id",)) -> Data
                       if c in cols else F.col(c) for c in df.columns])
 
 
+#: Q2: columns of the feature table that are no model inputs (the value itself, and
+#: calendar numbers that their sines and cosines stand for).
 FEATURE_EXCLUDE = ("y", "hour", "dayofweek", "month", "season")
+
+
+def model_columns(features: DataFrame, keys: Sequence[str] = ("series_id",), ts: str = "ts", exclude: Sequence[str] = FEATURE_EXCLUDE) -> list[str]:
+    """Q2: every numeric column that is no key, no time and not excluded, in order."""
+    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    return [c for c, t in features.dtypes if t in numeric and c not in {*keys, ts, *exclude}]

@@ -235,10 +235,9 @@ def p9_mutual_info(spark, sf_dir):
 
 @register("p9_knn_mutual_info")
 def p9_knn_mutual_info(spark, sf_dir):
-    """Every numeric model input that is no future calendar, from nearest neighbours."""
-    g = T.hourly_grid(spark, sf_dir)
-    cols = [c for c in MODEL_FEATURES if not c.startswith(("target_", "is_"))]
-    return out(IN.knn_mutual_info(model_features(spark, sf_dir, g), cols, "y"))
+    """Every model input of the feature table (by exclusion), from nearest neighbours."""
+    f = model_features(spark, sf_dir, T.hourly_grid(spark, sf_dir))
+    return out(IN.knn_mutual_info(f, FE.model_columns(f), "y"))
 
 
 @register("p10_rank_compare", _mi_sql() + f""",

@@ -293,7 +293,7 @@ def v5_missing_rows(spark, sf_dir):
 @register("r4_month_year_matrix", f"""WITH {O.DAILY}, m AS (
   SELECT series_id, CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS VARCHAR) AS year,
          round(avg(y), {R}) AS mean FROM daily GROUP BY 1, 2, 3)
-PIVOT m ON year USING first(mean) GROUP BY series_id, month""")
+SELECT series_id, month, {", ".join(f"max(CASE WHEN year = '{y}' THEN mean END) AS " + '"' + str(y) + '"' for y in range(1995, 2002))} FROM m GROUP BY 1, 2""")
 def r4_month_year_matrix(spark, sf_dir):
     """Month × year mean matrix (one column per year present in the data)."""
     d = T.daily_grid(spark, sf_dir)

@@ -95,3 +95,11 @@ def test_standardize_population_std(spark):
     df = spark.createDataFrame([("s", 1.0), ("s", 3.0)], "series_id string, a double")
     out = sorted(r["a"] for r in FE.standardize(df, ["a"]).collect())
     assert out == [-1.0, 1.0]
+
+
+def test_model_columns_by_exclusion(make_series):
+    f = FE.build_features(make_series(hourly_rows(5)))
+    cols = FE.model_columns(f)
+    assert not {"series_id", "ts", "y", "hour", "dayofweek", "month", "season"} & set(cols)
+    assert {"hour_sin", "y_lag_168", "y_roll_std_24", "is_weekend", "is_flagged_anomaly"} <= set(cols)
+    assert FE.model_columns(f, exclude=(*FE.FEATURE_EXCLUDE, "quarter")) == [c for c in cols if c != "quarter"]

@@ -27,7 +27,8 @@ def test_oracle_keys_are_queries():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_oracle_sql_runs(con, name):
-    rel = con.execute(E.oracle_sql()[name])
+    con.execute(f"CREATE OR REPLACE VIEW checked AS {E.oracle_sql()[name]}")  # a statement that cannot be a view is not compared
+    rel = con.execute("SELECT * FROM checked")
     cols = [d[0] for d in rel.description]
     assert len(cols) == len(set(c.lower() for c in cols))
     rel.fetchall()
