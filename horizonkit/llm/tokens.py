@@ -14,8 +14,8 @@ ids of a text are those of its pieces in order. Two levels of pieces are kept:
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 
@@ -46,7 +46,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.hash, self.at, self.count, self.ids = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _library(self, texts: list[str]) -> list[list[int]]:
@@ -58,22 +58,24 @@ class Encoder:
             return [span]
         return _WORD.findall(span.lower()) if self.word else _BYTE.findall(span)
 
-    def _new(self, spans: list[str]) -> list[list[int]]:
-        """Ids of spans that are not kept yet."""
+    def _new(self, spans: list[str]) -> list[bytes]:
+        """Ids of spans that are not kept yet (as bytes: the garbage collector does not visit them)."""
         cut = [self._cut(s) for s in spans]
         new = {p for c in cut for p in c}
         if len(self.parts) + len(new) > CACHE_PARTS:
             self.parts = {}
         new = list(new - self.parts.keys())
-        found, rare = self._library(new), {}
-        for p, x in zip(new, found):
-            (self.parts if len(p) <= PART_CHARS else rare)[p] = x
-        get = {**self.parts, **rare}.__getitem__ if rare else self.parts.__getitem__
-        return [get(c[0]) if len(c) == 1 else [x for p in c for x in get(p)] for c in cut]
-
-    def _keep(self, new: np.ndarray, ids: list[list[int]]) -> None:
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), "<u4", int(n.sum()))
+        self.parts.update(zip(new, (array("I", x).tobytes() for x in self._library(new))))
+        get = self.parts.__getitem__
+        out = [get(c[0]) if len(c) == 1 else b"".join(map(get, c)) for c in cut]
+        for p in new:
+            if len(p) > PART_CHARS:
+                del self.parts[p]
+        return out
+
+    def _keep(self, new: np.ndarray, ids: list[bytes]) -> None:
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
         at = len(self.ids) + np.cumsum(n) - n
         place = np.searchsorted(self.hash, new)
         self.hash, self.at, self.count = (np.insert(a, place, b) for a, b in ((self.hash, new), (self.at, at), (self.count, n)))

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 
 from horizonkit.llm.token_files import Shard, build_index, find, lookup, write_shards
-from horizonkit.llm.tokens import Encoder
+from horizonkit.llm.tokens import PART_CHARS, Encoder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -51,3 +51,14 @@ def test_empty_table(docs_of):
     docs = docs_of([])
     manifest = write_shards(docs, VOCABULARY)
     assert manifest.collect() == [] and lookup(docs, manifest).collect() == []
+
+
+def test_kept_parts_are_bytes_and_long_ones_go():
+    """Kept ids are no lists of Python numbers; a long part is not kept, and costs no copy of those that are."""
+    e = Encoder(VOCABULARY)
+    texts = ["short words, some-thing " + "x" * (PART_CHARS + 9) + "!", "words " + "y" * 300, ""]
+    kept = e.parts
+    for _ in range(2):
+        assert list(e.encode(texts)) == [np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.parts is kept and kept
+    assert all(isinstance(v, bytes) and len(p) <= PART_CHARS for p, v in kept.items())
