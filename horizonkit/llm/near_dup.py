@@ -15,7 +15,10 @@ found by a 128-bit digest of the set. Between classes:
    below the threshold pass);
 3. exact Jaccard on the whole sets, computed anew from the texts, confirms links.
 
-``components.link_lists`` keeps dense groups from costing all their pairs."""
+``components.link_lists`` keeps dense groups from costing all their pairs. Long lists whose
+members it leaves apart (texts with a passage in common, copies just too far from each
+other) are not compared pair by pair: their members meet by their rarest shingles
+(``by_rare_shingles``), which loses no link."""
 
 from __future__ import annotations
 
@@ -30,6 +33,7 @@ from .tables import map_batches, small, stored
 from .text_arrays import U64, batches, mix, shingle_sets, text_sizes, window_hashes, words
 
 SHINGLE, SKETCH, INDEXED, INDEXED_LOW, RUN = 5, 64, 32, 48, 3
+TALLY = 1 << 18  # groups of shingles by hash that are told apart by frequency
 _SET_SCHEMA = "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>, keys array<bigint>"
 
 
@@ -84,8 +88,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFr
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     """Pairs whose whole sets have 100 * intersection >= percent * union."""
     pairs = stored(pairs, "near-candidates")
-    need = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-needed")
-    texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(small(need), "doc_id"), "near-texts")
+    texts = _texts_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs, "near")
     two = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"))
 
@@ -104,6 +107,54 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) ->
     return map_batches(two, check, "a bigint, b bigint")
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """(doc_id, text) of the rows of ``docs`` with these ids (column doc_id)."""
+    need = stored(ids.distinct(), f"{name}-needed")
+    return stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(small(need), "doc_id"), f"{name}-texts")
+
+
+def by_rare_shingles(placed: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Pairs (a, b) of documents of different components, ``placed`` (id, component), with
+    every pair that is a link among them.
+
+    Shingles are put in one order, rarest first; any order would do, so frequencies are
+    counted by groups of hashes. Two sets linked have 100 * shared >= percent * size of
+    the larger, and (100 + percent) * shared >= percent * both sizes. So a first shared
+    shingle stands early in both, earlier in the smaller set, and from it on both are
+    still long enough. What many texts share comes last in the order and seldom is a key."""
+    texts = _texts_of(placed.select(F.col("id").alias("doc_id")), docs, "near-rare")
+
+    def tally(cols):
+        for _, _, sets in _sets(cols["text"], shingle):
+            group, n = np.unique(np.concatenate(sets) % U64(TALLY), return_counts=True)
+            yield {"word": group.astype(np.int64), "n": n}
+
+    counted = map_batches(texts, tally, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toArrow()  # TALLY rows at most
+    times = np.zeros(TALLY, np.int64)
+    times[counted["word"].to_numpy()] = counted["n"].to_numpy()
+
+    def fn(cols):
+        for i, _, sets in _sets(cols["text"], shingle):
+            out = {"key": [], "id": [], "size": [], "place": []}
+            for k, s in enumerate(sets):
+                n = len(s)
+                first = s[np.lexsort((s, times[s % U64(TALLY)]))[:n - -(-percent * n // 100) + 1]]
+                out["key"].append(_signed(first))
+                out["place"].append(np.arange(len(first)))
+                out["id"].append(np.full(len(first), cols["doc_id"][i + k]))
+                out["size"].append(np.full(len(first), n))
+            yield {c: np.concatenate(v) for c, v in out.items()}
+
+    keyed = map_batches(texts, fn, "key bigint, id bigint, size int, place int").join(placed, "id")
+    keyed = stored(keyed, "near-rare-keys")
+    early = keyed.where(F.col("place") <= F.col("size") - F.ceil(2 * percent * F.col("size") / (100 + percent))).alias("y")
+    left = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    met = keyed.alias("x").join(early, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
+                                & (F.col("y.size") <= F.col("x.size")) & ((F.col("y.size") < F.col("x.size")) | (F.col("y.id") < F.col("x.id")))
+                                & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size"))))
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of (doc_id, text).
 
@@ -119,7 +170,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE)
     classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"),
                                                  F.first("keys").alias("keys")), "near-classes")
     members = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("id"))
-    links = link_lists(members, lambda p: confirmed(estimated(p, classes, similarity), docs, percent, shingle), "near")
+    links = link_lists(members, lambda p: confirmed(estimated(p, classes, similarity), docs, percent, shingle), "near",
+                       lambda open_: by_rare_shingles(open_.select("id", "component").distinct(), docs, percent, shingle))
     placed = stored(named.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest")
                     .select("doc_id", "rep").distinct(), "near-placed")
     twice = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("m"), F.collect_set("rep").alias("all"))

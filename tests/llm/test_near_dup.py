@@ -5,6 +5,7 @@ import re
 import pytest
 
 from horizonkit.llm.components import connected_components
+from horizonkit.llm import near_dup
 from horizonkit.llm.near_dup import near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -105,3 +106,25 @@ def test_structured_words_stay_apart(docs_of):
     t = "".join("ab"[k.bit_count() % 2] for k in range(2048))
     rows = [(1, t), (2, t.translate(str.maketrans("ab", "ba"))), (3, t)]
     assert {r.doc_id: r.component_id for r in near_duplicates(docs_of(rows)).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_copies_just_too_far_apart_are_not_paired(docs_of, monkeypatch, percent):
+    """A large group whose texts have most shingles in common without being linked: few
+    pairs reach the check (all were compared before), and every link is found."""
+    r = random.Random(8)
+    base = [f"b{i}" for i in range(170)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for at in r.sample(range(0, 170, 6), 4 if i % 8 else 1):
+            w[at] = f"r{r.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(base[:60] + [f"x{r.randrange(10**9)}" for _ in range(40)])) for i in range(60)]
+    rows += [(2000 + i, rows[160 + i][1] + " more") for i in range(0, 60, 9)]
+    seen = []
+    estimate = near_dup.estimated
+    monkeypatch.setattr(near_dup, "estimated", lambda p, *a: (seen.append(p.count()), estimate(p, *a))[1])
+    got = {x.doc_id: x.component_id for x in near_duplicates(docs_of(rows).repartition(3), percent).collect()}
+    assert got == brute(rows, percent)
+    assert len(seen) == 2 and seen[1] < 3000
