@@ -142,8 +142,9 @@ def _bundle(spark, sf_dir, train):
     key = (spark.sparkContext.applicationId, sf_dir, *mark)
     if key not in _bundles:
         by = scratch_path(spark, "train-by-horizon")
-        train.write.partitionBy("horizon").parquet(by)
-        models = MD.fit_direct(spark.read.parquet(by), HORIZONS, MODEL_FEATURES, "gbt", GBT_PARAMS, parallelism=8)
+        train.select(*MODEL_FEATURES, "y_target", "horizon").write.partitionBy("horizon").parquet(by)
+        models = MD.fit_direct(spark.read.parquet(by), HORIZONS, MODEL_FEATURES, "gbt", GBT_PARAMS,
+                               parallelism=max(8, spark.sparkContext.defaultParallelism))
         path = scratch_path(spark, "bundle")
         save_bundle(models, path, spark, {"features": MODEL_FEATURES})
         _bundles[key] = path

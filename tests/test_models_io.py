@@ -266,3 +266,15 @@ def test_recent_window_reads_its_days_only(spark, tmp_path):
         strict.collect()
     nothing, _ = read_recent(spark, root, 192, as_of.limit(0))
     assert nothing.collect() == []
+
+
+def test_a_fit_reads_cached_rows_in_few_partitions(spark, monkeypatch):
+    class Seen:
+        def fit(self, rows):
+            return rows.rdd.getNumPartitions(), rows.is_cached, rows.columns, rows.count()
+
+    monkeypatch.setattr(MD, "direct_pipeline", lambda *a: Seen())
+    monkeypatch.setattr(MD, "FIT_ROWS", 100)
+    train = spark.range(500, numPartitions=40).selectExpr("id % 2 + 1 AS horizon", "id * 0.5 AS x", "id AS other", "id * 1.0 AS y_target")
+    assert MD.fit_direct(train, [1, 2], ["x"]) == {h: (3, True, ["x", "y_target"], 250) for h in (1, 2)}
+    assert MD.fit_direct(train, [1, 2], ["x"], pooled=True) == {"pooled": (5, True, ["x", "horizon", "y_target"], 500)}
