@@ -11,6 +11,7 @@ import json
 import random
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
 from pyspark.ml import PipelineModel
@@ -29,6 +30,7 @@ RAW_RENAME = {"Global_active_power": "global_active_power", "Global_reactive_pow
               "Sub_metering_2": "sub_metering_2", "Sub_metering_3": "sub_metering_3"}
 RAW_MISSING = "?"
 RAW_TS_FORMAT = "d/M/yyyy H:mm:ss"
+SAVERS = 8  # models of a bundle written or read at a time: each is a dozen very small jobs
 VERSION_SCHEMA = "name string, version int, path string, alias string"
 
 
@@ -139,19 +141,17 @@ def log_run(spark: SparkSession, path: str, run: str, params: dict, metrics: dic
 # ---------------------------------------------------------------- S13, S14
 def save_bundle(models: dict, path: str, spark: SparkSession, meta: dict) -> None:
     """One Spark ML pipeline directory per horizon plus a one-row metadata table."""
-    for h, m in models.items():
-        m.write().overwrite().save(f"{path}/model_h{h}")
+    with ThreadPoolExecutor(max_workers=SAVERS) as ex:
+        list(ex.map(lambda h: models[h].write().overwrite().save(f"{path}/model_h{h}"), models))
     spark.createDataFrame([(json.dumps({**meta, "horizons": [str(h) for h in models]}),)], "meta string") \
          .write.mode("overwrite").parquet(f"{path}/meta")
 
 
 def load_bundle(spark: SparkSession, path: str) -> tuple[dict, dict]:
     meta = json.loads(spark.read.parquet(f"{path}/meta").first()["meta"])
-    models = {}
-    for h in meta["horizons"]:
-        key = int(h) if h.isdigit() else h
-        models[key] = PipelineModel.load(f"{path}/model_h{h}")
-    return models, meta
+    with ThreadPoolExecutor(max_workers=SAVERS) as ex:
+        models = list(ex.map(lambda h: PipelineModel.load(f"{path}/model_h{h}"), meta["horizons"]))
+    return {int(h) if h.isdigit() else h: m for h, m in zip(meta["horizons"], models)}, meta
 
 
 def _files(spark: SparkSession, path: str):
