@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import all_not_null
 from ..functions.timecols import add_steps, step_seconds
+from ..session import materialize
 from . import features as FE
 from .grid import to_grid
 
@@ -90,7 +91,7 @@ def score_origins(models: dict, features: DataFrame, origins: DataFrame, horizon
     keys = list(keys)
     o = origins.select(*keys, F.col("origin").alias(ts))
     origin_cols = [c for c in feature_cols if not c.startswith("target_")]
-    at = features.join(o, [*keys, ts], "inner")
+    at = materialize(features.join(o, [*keys, ts], "inner"))  # read once for each model, and for the rejects
     rows = at.where(all_not_null(origin_cols))
     here = at.groupBy(*keys, ts).agg(F.max(all_not_null(origin_cols).cast("int")).alias("_fine"))
     rejects = o.distinct().join(here, [*keys, ts], "left").where(F.coalesce(F.col("_fine"), F.lit(0)) == 0).select(

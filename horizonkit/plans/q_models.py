@@ -119,7 +119,7 @@ def p3_changepoints(spark, sf_dir):
 # ---------------------------------------------------------------- P4, P7, B11, I*
 def supervised_frame(spark, sf_dir):
     g, split = _split(spark, sf_dir)
-    f = model_features(spark, sf_dir, g)
+    f = materialize(model_features(spark, sf_dir, g))  # read by the training frame and the scoring
     sup = FE.supervised(f, HORIZONS)
     return g, split, f, sup
 

@@ -278,3 +278,23 @@ def test_a_fit_reads_cached_rows_in_few_partitions(spark, monkeypatch):
     train = spark.range(500, numPartitions=40).selectExpr("id % 2 + 1 AS horizon", "id * 0.5 AS x", "id AS other", "id * 1.0 AS y_target")
     assert MD.fit_direct(train, [1, 2], ["x"]) == {h: (3, True, ["x", "y_target"], 250) for h in (1, 2)}
     assert MD.fit_direct(train, [1, 2], ["x"], pooled=True) == {"pooled": (5, True, ["x", "horizon", "y_target"], 500)}
+
+
+def test_origins_are_scored_from_rows_read_once(spark):
+    f = spark.createDataFrame([("s", dt.datetime(2024, 1, 1, h), 1.0 if h else None) for h in range(3)], "series_id string, ts timestamp_ntz, x double")
+    origins = spark.createDataFrame([("s", dt.datetime(2024, 1, 1, h)) for h in (0, 1, 5)], "series_id string, origin timestamp_ntz")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    class Model:
+        def transform(self, rows):
+            return rows.withColumn("prediction", F.col("x") + F.col("horizon"))
+
+    fc, rejects = I.score_origins({h: Model() for h in (1, 2, 3)}, f.mapInArrow(counted, f.schema), origins, [1, 2, 3], ["x"])
+    assert sorted((r.horizon_step, r.forecast) for r in fc.collect()) == [(1, 2.0), (2, 3.0), (3, 4.0)]
+    assert sorted(r.reason for r in rejects.collect()) == ["missing_origin", "null_feature"]
+    assert reads.value == 3
