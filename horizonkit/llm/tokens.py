@@ -9,7 +9,11 @@ ids of a text are those of its pieces in order. Two levels of pieces are kept:
   batch are found, hashed (64 bits) and looked up as arrays;
 * parts of a new span. Spans of common Latin characters are cut by the tokenizers' own
   patterns, others go whole through the library, as does every new part. ``word`` also
-  lower-cases; the other steps of its normal form leave these characters alone."""
+  lower-cases; the other steps of its normal form leave these characters alone.
+
+New spans of ``byte`` with no white space but a space before them go through the library
+many at a time instead, a line feed between them: its pattern cuts on both sides of that,
+and no such span holds the line feed's id."""
 
 from __future__ import annotations
 
@@ -25,6 +29,7 @@ BATCH_CHARS = 1 << 19
 #: Parts (about 200 bytes each), spans (20 bytes) and span ids kept per worker; a full
 #: cache starts anew. Longer parts are not kept.
 CACHE_PARTS, CACHE_SPANS, CACHE_IDS, PART_CHARS = 400_000, 2_000_000, 12_000_000, 40
+JOINED = 100  # spans that go through the library as one text
 
 # fixed values: the tokenizers' patterns, with the classes written out for _COMMON
 _COMMON = re.compile("[\x00-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
@@ -32,6 +37,7 @@ _S, _N, _AT = r"\t-\r \x85\xa0", "0-9²³¹¼-¾", "'s|'t|'re|'ve|'m|'ll|'d"
 _LOW, _L = "a-zªµºß-öø-\u017f", "a-zA-ZªµºÀ-ÖØ-öø-\u017f"
 _WORD = re.compile(f"{_AT}|[{_LOW}]+|[{_N}]|[^{_S}{_N}{_LOW}]+")
 _BYTE = re.compile(f"{_AT}| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_N}{_L}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_PLAIN = re.compile(r" ?\S+")
 _ODD_SPACE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
 
 
@@ -43,6 +49,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.word = self.tokenizer.normalizer is not None
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 and not self.word else None
         self._forget()
 
     def _forget(self) -> None:
@@ -58,8 +66,31 @@ class Encoder:
             return [span]
         return _WORD.findall(span.lower()) if self.word else _BYTE.findall(span)
 
+    def _joined(self, spans: list[str]) -> list[bytes]:
+        """Ids of spans of _PLAIN."""
+        out = []
+        for i in range(0, len(spans), JOINED):
+            own = spans[i:i + JOINED]
+            ids = np.array(self._library(["\n".join(own)])[0], "<u4")
+            feeds = np.flatnonzero(ids == self.feed) * 4
+            if len(feeds) != len(own) - 1:  # another pattern than the public one's
+                out += [array("I", x).tobytes() for x in self._library(own)]
+                continue
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *(feeds + 4).tolist()], [*feeds.tolist(), len(raw)])]
+        return out
+
     def _new(self, spans: list[str]) -> list[bytes]:
         """Ids of spans that are not kept yet (as bytes: the garbage collector does not visit them)."""
+        if self.feed is None or len(spans) < JOINED:
+            return self._cut_up(spans)
+        plain = [_PLAIN.fullmatch(s) is not None for s in spans]
+        joined = iter(self._joined([s for s, p in zip(spans, plain) if p]))
+        others = iter(self._cut_up([s for s, p in zip(spans, plain) if not p]))
+        return [next(joined if p else others) for p in plain]
+
+    def _cut_up(self, spans: list[str]) -> list[bytes]:
+        """Ids of spans, part by part."""
         cut = [self._cut(s) for s in spans]
         new = {p for c in cut for p in c}
         if len(self.parts) + len(new) > CACHE_PARTS:

@@ -53,6 +53,22 @@ def test_empty_table(docs_of):
     assert manifest.collect() == [] and lookup(docs, manifest).collect() == []
 
 
+def test_new_words_go_through_the_library_many_at_a_time():
+    """One call's text holds many new words (each was a text of its own before), with the library's ids."""
+    r = random.Random(6)
+    e = Encoder(VOCABULARY)
+    words = ["".join(r.choice("abcdeé漢1-'!<") for _ in range(r.randrange(1, 12))) for _ in range(3000)]
+    texts = [" ".join(words[i:i + 30]) + r.choice(["", "\n", "\n\nx", "  y", "\t"]) for i in range(0, 3000, 30)]
+    want = [np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    given, library = [], e._library
+    e._library = lambda some: given.extend(some) or library(some)
+    assert list(e.encode(texts)) == want
+    assert len(given) < 500
+    e.feed = 0  # an id that the joined texts do not hold: every span by itself
+    e._forget()
+    assert list(e.encode(texts)) == want
+
+
 def test_kept_parts_are_bytes_and_long_ones_go():
     """Kept ids are no lists of Python numbers; a long part is not kept, and costs no copy of those that are."""
     e = Encoder(VOCABULARY)
