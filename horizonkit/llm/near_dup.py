@@ -11,7 +11,9 @@ found by a 128-bit digest of the set. Between classes:
    values always share one). Below 0.85, INDEXED_LOW = 48 are taken (4.4e-8 for s = 0.8),
    and of sets of up to five values every two neighbours too (four values of five may
    share no three). A passage that many texts share makes few such runs;
-2. the union-sketch estimate of the similarity filters (five standard deviations
+2. pairs whose sizes, or one parity bit for each of 256 groups of shingles (``marks``), differ
+   by more than a link allows are left out in the join of the lists; this loses none. Then
+   the union-sketch estimate of the similarity filters (five standard deviations
    below the threshold pass);
 3. exact Jaccard on the whole sets, computed anew from the texts, confirms links.
 
@@ -23,9 +25,10 @@ other) are not compared pair by pair: their members meet by their rarest shingle
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, link_lists
@@ -34,7 +37,9 @@ from .text_arrays import U64, batches, mix, shingle_sets, text_sizes, window_has
 
 SHINGLE, SKETCH, INDEXED, INDEXED_LOW, RUN = 5, 64, 32, 48, 3
 TALLY = 1 << 18  # groups of shingles by hash that are told apart by frequency
-_SET_SCHEMA = "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>, keys array<bigint>"
+MARKS = 4  # columns of 64 bits that tell sets far apart
+_SET_SCHEMA = ("doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>, keys array<bigint>, "
+               + ", ".join(f"m{k} bigint" for k in range(MARKS)))
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -42,6 +47,29 @@ def _digest(s: np.ndarray) -> bytes:
     return np.array([a.sum(dtype=U64), b.sum(dtype=U64)], U64).tobytes()
 
 
+def marks(s: np.ndarray) -> np.ndarray:
+    """64 * MARKS bits: whether an odd number of the hashes falls on each. Every bit in which
+    two sets differ takes a hash that only one of them has."""
+    n = np.bincount((s >> U64(20)).astype(np.int64) % (64 * MARKS), minlength=64 * MARKS)
+    return np.packbits((n & 1).astype(bool)).view(np.int64)
+
+
+def may_be_linked(percent: int) -> Callable[[str, str], Column]:
+    """Whether sets of these sizes (n_shingles) and marks may be linked: then at most
+    (100 - percent) / (100 + percent) of both sizes together are in one set only."""
+    def may(x: str, y: str) -> Column:
+        differ = sum((F.bit_count(F.col(f"{x}.m{k}").bitwiseXOR(F.col(f"{y}.m{k}"))) for k in range(MARKS)), F.lit(0))
+        sizes = F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")
+        apart = F.abs(F.col(f"{x}.n_shingles") - F.col(f"{y}.n_shingles"))
+        return (100 + percent) * F.greatest(differ, apart) <= (100 - percent) * sizes
+    return may
+
+
+def _marked(sets: list) -> dict[str, np.ndarray]:
+    m = np.array([marks(s) for s in sets], np.int64).reshape(-1, MARKS)
+    return {f"m{k}": m[:, k] for k in range(MARKS)}
+
+
 def _sets(texts: list, n: int):
     for i, j in batches(text_sizes(texts)):
         yield i, j, shingle_sets(words(texts[i:j]), n)
@@ -58,7 +86,7 @@ def _least(similarity: float) -> int:
 
 
 def sketches(docs: DataFrame, shingle: int = SHINGLE, similarity: float = 0.85) -> DataFrame:
-    """(doc_id, n_shingles, digest, sketch, keys) of every row of (doc_id, text)."""
+    """(doc_id, n_shingles, digest, sketch, keys and marks) of every row of (doc_id, text)."""
     least, low = _least(similarity), similarity < 0.85
     indexed = INDEXED_LOW if low else INDEXED
 
@@ -69,7 +97,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, similarity: float = 0.85)
                    "digest": [_digest(s) if len(s) else None for s in sets],
                    "sketch": [_signed(s[:SKETCH]) if len(s) >= least else None for s in sets],
                    "keys": [np.concatenate([window_hashes(s, r) for r in ((RUN, 2) if low and len(s) <= 5 else (RUN,))]).view(np.int64)
-                            for s in some]}
+                            for s in some]} | _marked(sets)
 
     return map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), fn, _SET_SCHEMA)
 
@@ -135,23 +163,26 @@ def by_rare_shingles(placed: DataFrame, docs: DataFrame, percent: int, shingle:
 
     def fn(cols):
         for i, _, sets in _sets(cols["text"], shingle):
-            out = {"key": [], "id": [], "size": [], "place": []}
+            out = {"key": [], "id": [], "n_shingles": [], "place": []}
             for k, s in enumerate(sets):
                 n = len(s)
                 first = s[np.lexsort((s, times[s % U64(TALLY)]))[:n - -(-percent * n // 100) + 1]]
                 out["key"].append(_signed(first))
                 out["place"].append(np.arange(len(first)))
                 out["id"].append(np.full(len(first), cols["doc_id"][i + k]))
-                out["size"].append(np.full(len(first), n))
-            yield {c: np.concatenate(v) for c, v in out.items()}
+                out["n_shingles"].append(np.full(len(first), n))
+            keys = [len(p) for p in out["place"]]
+            yield {c: np.concatenate(v) for c, v in out.items()} | {c: np.repeat(v, keys) for c, v in _marked(sets).items()}
 
-    keyed = map_batches(texts, fn, "key bigint, id bigint, size int, place int").join(placed, "id")
+    schema = "key bigint, id bigint, n_shingles int, place int, " + ", ".join(f"m{k} bigint" for k in range(MARKS))
+    keyed = map_batches(texts, fn, schema).join(placed, "id")
     keyed = stored(keyed, "near-rare-keys")
-    early = keyed.where(F.col("place") <= F.col("size") - F.ceil(2 * percent * F.col("size") / (100 + percent))).alias("y")
-    left = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    early = keyed.where(F.col("place") <= F.col("n_shingles") - F.ceil(2 * percent * F.col("n_shingles") / (100 + percent))).alias("y")
+    left = F.least(F.col("x.n_shingles") - F.col("x.place"), F.col("y.n_shingles") - F.col("y.place"))
     met = keyed.alias("x").join(early, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-                                & (F.col("y.size") <= F.col("x.size")) & ((F.col("y.size") < F.col("x.size")) | (F.col("y.id") < F.col("x.id")))
-                                & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size"))))
+                                & (F.col("y.n_shingles") <= F.col("x.n_shingles")) & ((F.col("y.n_shingles") < F.col("x.n_shingles")) | (F.col("y.id") < F.col("x.id")))
+                                & ((100 + percent) * left >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles")))
+                                & may_be_linked(percent)("x", "y"))
     return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
@@ -165,13 +196,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE)
     links of either hold for both. Rows with a null doc_id are never linked
     (component_id null, kept true). Other columns of ``docs`` are not read."""
     similarity = percent / 100
+    own = ["n_shingles", *(f"m{k}" for k in range(MARKS))]
     rows = stored(sketches(docs, shingle, similarity), "near-sketches")
     named = rows.where("doc_id is not null and n_shingles > 0")
     classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"),
-                                                 F.first("keys").alias("keys")), "near-classes")
-    members = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("id"))
+                                                 F.first("keys").alias("keys"), *[F.first(c).alias(c) for c in own]), "near-classes")
+    members = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("id"), *own)
     links = link_lists(members, lambda p: confirmed(estimated(p, classes, similarity), docs, percent, shingle), "near",
-                       lambda open_: by_rare_shingles(open_.select("id", "component").distinct(), docs, percent, shingle))
+                       lambda open_: by_rare_shingles(open_.select("id", "component").distinct(), docs, percent, shingle),
+                       may_be_linked(percent))
     placed = stored(named.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest")
                     .select("doc_id", "rep").distinct(), "near-placed")
     twice = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("m"), F.collect_set("rep").alias("all"))

@@ -2,6 +2,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from horizonkit.llm.components import connected_components
@@ -128,3 +129,33 @@ def test_copies_just_too_far_apart_are_not_paired(docs_of, monkeypatch, percent)
     got = {x.doc_id: x.component_id for x in near_duplicates(docs_of(rows).repartition(3), percent).collect()}
     assert got == brute(rows, percent)
     assert len(seen) == 2 and seen[1] < 3000
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_marks_never_part_linked_sets(spark, percent):
+    r = random.Random(4)
+    rows = []
+    for _ in range(400):
+        own = np.unique(np.array([r.getrandbits(64) for _ in range(r.choice([1, 7, 60, 400, 3000]))], np.uint64))
+        cut = own[int(len(own) * r.random() * 0.2):]
+        more = np.unique(np.append(cut, np.array([r.getrandbits(64) for _ in range(int(len(own) * r.random() * 0.15))], np.uint64)))
+        both = len(np.intersect1d(own, more))
+        if 100 * both >= percent * (len(own) + len(more) - both):
+            rows.append(tuple((len(s), *near_dup.marks(s).tolist()) for s in (own, more)))
+    kind = "struct<n_shingles int, " + ", ".join(f"m{k} bigint" for k in range(near_dup.MARKS)) + ">"
+    pairs = spark.createDataFrame(rows, f"x {kind}, y {kind}")
+    assert len(rows) > 100 and pairs.where(~near_dup.may_be_linked(percent)("x", "y")).count() == 0
+
+
+def test_far_pairs_of_long_lists_do_not_leave_the_join(docs_of, monkeypatch):
+    """Texts with a long passage in common and too different for a link: few pairs reach the
+    estimate (each pivot's pairs with all members of its lists did before)."""
+    r = random.Random(3)
+    shared = [f"s{i}" for i in range(60)]
+    rows = [(i, " ".join(shared + [f"w{r.randrange(10**6)}" for _ in range(60)])) for i in range(200)]
+    rows += [(200 + i, rows[i][1] + " end") for i in range(20)]
+    given, estimated = [], near_dup.estimated
+    monkeypatch.setattr(near_dup, "estimated", lambda pairs, *x: given.append(pairs.count()) or estimated(pairs, *x))
+    got = {x.doc_id: x.component_id for x in near_duplicates(docs_of(rows)).collect()}
+    assert got == brute(rows)
+    assert sum(given) <= 60
