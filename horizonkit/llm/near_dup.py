@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, link_lists
-from .tables import map_batches, small, stored
+from .tables import map_batches, small, stored, tally
 from .text_arrays import U64, batches, mix, shingle_sets, text_sizes, window_hashes, words
 
 SHINGLE, SKETCH, INDEXED, INDEXED_LOW, RUN = 5, 64, 32, 48, 3
@@ -152,14 +152,7 @@ def by_rare_shingles(placed: DataFrame, docs: DataFrame, percent: int, shingle:
     still long enough. What many texts share comes last in the order and seldom is a key."""
     texts = _texts_of(placed.select(F.col("id").alias("doc_id")), docs, "near-rare")
 
-    def tally(cols):
-        for _, _, sets in _sets(cols["text"], shingle):
-            group, n = np.unique(np.concatenate(sets) % U64(TALLY), return_counts=True)
-            yield {"word": group.astype(np.int64), "n": n}
-
-    counted = map_batches(texts, tally, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toArrow()  # TALLY rows at most
-    times = np.zeros(TALLY, np.int64)
-    times[counted["word"].to_numpy()] = counted["n"].to_numpy()
+    times = tally(texts, lambda cols: (np.concatenate(sets) for _, _, sets in _sets(cols["text"], shingle)), TALLY)
 
     def fn(cols):
         for i, _, sets in _sets(cols["text"], shingle):

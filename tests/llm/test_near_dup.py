@@ -5,8 +5,8 @@ import re
 import numpy as np
 import pytest
 
-from horizonkit.llm.components import connected_components
-from horizonkit.llm import near_dup
+from horizonkit.llm.components import connected_components, link_lists
+from horizonkit.llm import near_dup, tables
 from horizonkit.llm.near_dup import near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -159,3 +159,31 @@ def test_far_pairs_of_long_lists_do_not_leave_the_join(docs_of, monkeypatch):
     got = {x.doc_id: x.component_id for x in near_duplicates(docs_of(rows)).collect()}
     assert got == brute(rows)
     assert sum(given) <= 60
+
+
+def test_tally_hands_on_few_rows(spark, monkeypatch):
+    """Frequencies by groups of hashes: each task hands on TALLY_ROWS rows at most (it handed
+    on one for each group in a batch before), and nothing is lost."""
+    made, plain = [], tables.map_stream
+    monkeypatch.setattr(tables, "map_stream", lambda df, fn, schema: made.append(plain(df, fn, schema)) or made[-1])
+    frame = spark.range(0, 30_000, 1, 3).selectExpr("id * 7919 % 2003 AS h")
+    groups = 64 * 128
+    got = tables.tally(frame, lambda cols: (np.array(cols["h"][i::2], np.uint64) for i in range(2)), groups)
+    assert got.tolist() == np.bincount([i * 7919 % 2003 for i in range(30_000)], minlength=groups).tolist()
+    assert made[0].count() <= 3 * tables.TALLY_ROWS
+    assert not tables.tally(frame.where("h < 0"), lambda cols: iter([np.array(cols["h"], np.uint64)]), groups).any()
+
+
+def test_known_links_are_not_compared_again(spark):
+    """Members of a long list that links found before join are no open pairs."""
+    members = spark.createDataFrame([(1, i) for i in range(60)], "key bigint, id bigint")
+    known = spark.createDataFrame([(i, i + 1) for i in range(59) if i != 29], "a bigint, b bigint")
+    given = []
+
+    def verify(pairs):
+        given.append({tuple(r) for r in pairs.collect()})
+        return pairs.where("a = 3 and b = 40")
+
+    links = link_lists(members, verify, "test", known=known)
+    assert {r.component for r in connected_components(links).collect()} == {0}
+    assert len(given) == 2 and given[1] == {(a, b) for a in range(30) for b in range(30, 60)}
